@@ -1,9 +1,10 @@
 """Exact dedup by content-defined chunk recipes (DataFrame functions only).
 
 A text is normalised (each run of ASCII white space becomes one space) and cut
-into chunks where its content says so: after at least ``MIN_CHARS`` characters,
-behind a word whose last character has a code of 1 modulo 8, or after
-``MAX_CHARS`` where no such word comes. A chunk's identifier is its 64-bit hash.
+into chunks where its content says so: between two words that end and begin with
+certain characters (a word's last code is 1 modulo 8, the one before and the next
+word's first are 1 modulo 4), ``MIN_CHARS`` characters or more apart; and after
+``MAX_CHARS`` where no such words come. A chunk's identifier is its 64-bit hash.
 Identifiers are verified once over all distinct chunks: no identifier may stand
 for two SHA-256 digests; if one does, the digests themselves become the
 identifiers. A document's recipe is its ordered identifier list, and documents
@@ -24,9 +25,14 @@ from pyspark.sql import functions as F
 from .durable import save
 
 SPACES = r"[\x20\x09-\x0D]+"
-MIN_CHARS, MAX_CHARS = 768, 8192
-_ENDS = "".join(f"\\x{{{c:X}}}" for c in range(0x21, 0x100) if c % 8 == 1)
-CHUNK = rf"(?s).{{{MIN_CHARS},{MAX_CHARS}}}?(?<=[{_ENDS}] )|.{{1,{MAX_CHARS}}}"
+MIN_CHARS, MAX_CHARS = 64, 8192
+
+
+def _codes(modulus: int) -> str:
+    return "[" + "".join(f"\\x{{{c:X}}}" for c in range(0x21, 0x100) if c % modulus == 1) + "]"
+
+
+CHUNK = rf"(?s).{{{MIN_CHARS},{MAX_CHARS}}}?(?<={_codes(4)}{_codes(8)} )(?={_codes(4)})|.{{1,{MAX_CHARS}}}"
 
 
 def normalised(text: str) -> Column:
