@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, embedding_dedup, exact_dedup, licences, line_dedup, packing, quality, simhash
+from . import byte_bpe, embedding_dedup, exact_dedup, fm_dedup, licences, line_dedup, packing, quality, simhash, suffix_dedup
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_quality": quality.op3_quality,
+    "op4_fm_dedup": fm_dedup.op4_fm_dedup,
     "op5_simhash": simhash.op5_simhash,
     "op6_embedding_dedup": embedding_dedup.op6_embedding_dedup,
     "op7_packing": packing.op7_packing,
