@@ -293,6 +293,6 @@ def covered(starts: list[tuple[int, int]], window: int) -> list[tuple[int, int]]
 
 
 def with_repeats(docs: DataFrame, repeats: DataFrame) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text) with what ``repeated`` says of its text."""
-    keyed = docs.select("doc_id", *hashes(F.col("text")), "text")
-    return keyed.join(repeats, ["t1", "t2"], "left").select("doc_id", "text", "first_id", "copies", "spans")
+    """Every row of ``docs`` (doc_id, text, ...) with what ``repeated`` says of its text."""
+    keyed = docs.select("*", *hashes(F.col("text")))
+    return keyed.join(repeats, ["t1", "t2"], "left").select(*docs.columns, "first_id", "copies", "spans")

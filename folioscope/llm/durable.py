@@ -61,4 +61,4 @@ def drop(table: DataFrame) -> None:
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds, so that very long texts do not fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))

@@ -149,7 +149,7 @@ def word_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, gone, removed, kept = [], [], [], []
-            for doc_id, text, first, starts in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2, 4))):
+            for doc_id, text, first, starts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "first_id", "spans"))):
                 words = text.encode().split()
                 if first is not None and first < (LAST if doc_id is None else doc_id):
                     spans = [(0, len(words))] if len(words) >= WINDOW else []

@@ -73,17 +73,22 @@ def compare(of: np.ndarray, contexts: list[bytes], at: np.ndarray, _doc_ids=None
     return flags
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int | None = None) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, removed, kept): removed spans and the remaining bytes, one row per input row."""
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    found = repeated(own, Bytes(WINDOW, GRAM), compare, False, SHARD, **({"hot": hot} if hot is not None else {}))
-    joined = with_repeats(own, found)
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, removed, kept, carried): removed spans and the remaining bytes, one row per input row.
+
+    ``carried`` is a struct of the columns named in ``carry``, unchanged.
+    """
+    others = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("int")
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), others.alias("carried"))
+    found = repeated(named.drop("carried"), Bytes(WINDOW, GRAM), compare, False, SHARD, **({"hot": hot} if hot is not None else {}))
+    joined = with_repeats(named, found)
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    names = ["doc_id", "n_bytes", "n_removed", "removed", "kept", "carried"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, gone, removed, kept = [], [], [], []
-            for text, copies, starts in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4))):
+            for text, copies, starts in zip(*(batch.column(c).to_pylist() for c in ("text", "copies", "spans"))):
                 data = text.encode()
                 if copies is not None and copies > 1 and len(data) >= WINDOW:
                     spans = [(0, len(data))]
@@ -94,9 +99,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 gone.append(sum(b - a for a, b in spans))
                 removed.append([{"start": a, "end": b} for a, b in spans])
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(removed, span), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "removed", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(removed, span), pa.array(kept, pa.binary()), batch.column("carried")], names)
 
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, removed array<struct<start:long,end:long>>, kept binary")
+    kind = named.schema["carried"].dataType.simpleString()
+    return joined.mapInArrow(run, f"doc_id long, n_bytes long, n_removed long, removed array<struct<start:long,end:long>>, kept binary, carried {kind}")
 
 
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
