@@ -25,10 +25,10 @@ are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from .durable import save, small_batches
 
 WINDOW, GRID, DEPTH, END = 4096, 64, 5, 2
-REMEMBERED, SHORT = 300_000, 48
-#: Texts in which white space alone does not bound what the tokenizer sees.
-_WHOLE = re.compile(r"[\x1c-\x1f]|<\|")
+REMEMBERED, SHORT = 1_000_000, 32
+#: Texts with these are tokenised whole: white space does not bound words there, or case depends on what follows.
+_WHOLE = ("\x1c", "\x1d", "\x1e", "\x1f", "<|", "\u03a3")
 
 
 def default_tokenizer() -> str:
@@ -57,19 +57,44 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        vocabulary = self.model.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only: each ends with its first word-end token, so they share a call."""
+        ids = np.array(self.model.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(words):
+            return self._ids(words)
+        packed, cuts = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
+        return [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words not met before; full stops and commas behind letters are tokens of their own."""
+        cores = {w: w.rstrip(".,") for w in words}
+        letters = [c for c in dict.fromkeys(cores.values()) if c.isalpha() and c not in self.known]
+        made = {w: b for k in range(0, len(letters), 200) for w, b in zip(letters[k : k + 200], self._letters(letters[k : k + 200]))}
+        others = [w for w, c in cores.items() if not c.isalpha()]
+        others += [t for t in {w[len(c) :] for w, c in cores.items() if c.isalpha()} if t and t not in self.known]
+        made.update(zip(others, self._ids(others)))
+        for w, c in cores.items():
+            if w not in made:
+                made[w] = b"".join(made[x] if x in made else self.known[x] for x in (c, w[len(c) :]) if x)
+        return made
+
     def encode(self, text: str) -> bytes:
-        if _WHOLE.search(text):
+        low = text.lower()
+        if any(s in text for s in _WHOLE) or not (text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low)):
             return self._ids([text])[0]
-        words = text.split()
+        words = low.split()
         found = list(map(self.known.get, words))
         if None in found:
-            missing = list(dict.fromkeys(w for w, b in zip(words, found) if b is None))
-            made = dict(zip(missing, self._ids(missing)))
+            made = self._new(list(dict.fromkeys(w for w, b in zip(words, found) if b is None)))
             found = [made[w] if b is None else b for w, b in zip(words, found)]
             if len(self.known) + len(made) > REMEMBERED:
                 self.known.clear()
