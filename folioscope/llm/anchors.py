@@ -14,7 +14,10 @@ written tables:
    Equal contexts are collapsed to classes.
 4. Classes that share an anchor are compared by the operator's index, a shard of
    anchors at a time. An anchor with more than ``HOT`` distinct contexts would
-   make a hot shard; its windows are counted one by one instead, pre-aggregated.
+   make a hot shard. Its contexts are cut into parts of fewer windows, keyed by
+   the units that all windows of a part share, and steps 3 and 4 are repeated for
+   the parts, with ever fewer windows a part. At one window a part the key is the
+   window itself, so no key has more than one context.
 5. Repeated starts go back to the members of their classes and to their texts.
 
 No group is gathered beyond ``HOT`` contexts or one text, and hot keys occur only
@@ -90,6 +93,9 @@ def anchors(values: np.ndarray, ends: np.ndarray, window: int, gram: int) -> Ite
 class Units:
     """How texts are cut into units; one per operator."""
 
+    #: Windows a part, level by level, where an anchor is hot.
+    parts: tuple[int, ...] = (1,)
+
     def __init__(self, window: int, gram: int):
         self.window, self.gram = window, gram
 
@@ -100,12 +106,14 @@ class Units:
     def cut(self, raw, start: int, end: int) -> bytes:
         raise NotImplementedError
 
-    def parse(self, contexts: list[bytes]) -> list[np.ndarray]:
-        """Values of contexts that ``cut`` has made."""
+    def raw(self, context: bytes):
+        """What ``cut`` needs, from a context that it has made."""
         raise NotImplementedError
 
 
 class Bytes(Units):
+    parts = (24, 4, 1)
+
     def values(self, texts):
         joined = b"".join(texts)
         return np.frombuffer(joined, np.uint8).astype(np.uint64), np.cumsum([len(t) for t in texts]), joined
@@ -113,13 +121,15 @@ class Bytes(Units):
     def cut(self, raw, start, end):
         return raw[start:end]
 
-    def parse(self, contexts):
-        return [np.frombuffer(c, np.uint8).astype(np.uint64) for c in contexts]
+    def raw(self, context):
+        return context
 
 
 class Words(Units):
     """Runs of other than ASCII white space."""
 
+    parts = (6, 2, 1)
+
     def values(self, texts):
         from xxhash import xxh64_intdigest
 
@@ -131,7 +141,11 @@ class Words(Units):
     def cut(self, raw, start, end):
         return b" ".join(raw[start:end])
 
-    def parse(self, contexts):
+    def raw(self, context):
+        return context.split(b" ")
+
+    def parse(self, contexts: list[bytes]) -> list[np.ndarray]:
+        """Values of contexts that ``cut`` has made."""
         values, ends, _ = self.values(contexts)
         return np.split(values, ends[:-1]) if len(ends) else []
 
@@ -157,8 +171,13 @@ def _anchored(texts: DataFrame, units: Units) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, t1 long, t2 long, anchors array<long>")
 
 
+#: A context of the text or class (p1, p2), with its windows' first and last start there and the anchor's place in it.
+_MEMBERS = "p1 long, p2 long, doc_id long, anchor long, first long, last long, at long, context binary"
+_MEMBER_NAMES = [c.split(" ")[0] for c in _MEMBERS.split(", ")]
+
+
 def _contexts(texts: DataFrame, units: Units) -> DataFrame:
-    names = ["t1", "t2", "doc_id", "anchor", "first", "last", "at", "context"]
+    names = _MEMBER_NAMES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,7 +194,7 @@ def _contexts(texts: DataFrame, units: Units) -> DataFrame:
                     [*[batch.column(k).take(pa.array(of)) for k in (1, 2, 0)], _longs(h), _longs(first - base), _longs(last - base), _longs(place - first), pa.array(pieces, pa.binary())], names
                 )
 
-    return texts.mapInArrow(run, "t1 long, t2 long, doc_id long, anchor long, first long, last long, at long, context binary")
+    return texts.mapInArrow(run, _MEMBERS)
 
 
 def _spans(flags: np.ndarray) -> list[dict]:
@@ -219,29 +238,50 @@ def _compared(classes: DataFrame, compare: Compare, limit: int) -> DataFrame:
     return dealt.mapInArrow(run, "c1 long, c2 long, spans array<struct<a:int,b:int>>")
 
 
-def _windows(classes: DataFrame, units: Units) -> DataFrame:
-    """(w1, w2, c1, c2, start, doc_id) of every window of some classes."""
+def _split(classes: DataFrame, units: Units, size: int) -> DataFrame:
+    """Members for the parts of ``size`` windows of classes, keyed by what a part's windows share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, own in enumerate(units.parse(batch.column(3).to_pylist())):
-                h = [grams(own, units.window, seed) for seed in (0, 1)]
-                n = len(h[0])
-                same = [pa.array([batch.column(c)[k].as_py()] * n, pa.int64()) for c in (0, 1, 2)]
-                yield pa.RecordBatch.from_arrays([_longs(h[0]), _longs(h[1]), same[0], same[1], pa.array(np.arange(n), pa.int32()), same[2]], ["w1", "w2", "c1", "c2", "start", "doc_id"])
-
-    return classes.select("c1", "c2", "doc_id", "context").mapInArrow(run, "w1 long, w2 long, c1 long, c2 long, start int, doc_id long")
-
+        from xxhash import xxh64_intdigest
 
-def _counted(classes: DataFrame, units: Units, earlier: bool) -> DataFrame:
-    """(c1, c2, spans) of hot anchors' classes, window by window."""
-    rows = save(_windows(classes, units), "hot-windows")
-    found = rows.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).filter("n > 1")
-    hit = rows.join(save(found, "hot-counts"), ["w1", "w2"])
-    if earlier:
-        hit = hit.filter("least < doc_id")
-    starts = hit.groupBy("c1", "c2").agg(F.collect_list("start").alias("starts"))  # at most a window's length
-    return starts.select("c1", "c2", F.transform("starts", lambda s: F.struct(s.alias("a"), s.alias("b"))).alias("spans"))
+        for batch in batches:
+            rows = []
+            for c1, c2, doc_id, anchor, at, context in zip(*(column.to_pylist() for column in batch.columns)):
+                raw = units.raw(context)
+                last = len(raw) - units.window
+                for part in range(max(0, at - last) // size, at // size + 1):
+                    a, b = max(0, at - (part + 1) * size + 1), min(last, at - part * size)
+                    shared = units.cut(raw, at - part * size, at - (part + 1) * size + 1 + units.window)
+                    key = xxh64_intdigest(shared, (anchor ^ part) & LAST) >> 1
+                    rows.append((c1, c2, doc_id, key, a, b, at - a, units.cut(raw, a, b + units.window)))
+            columns = list(zip(*rows)) or [()] * len(_MEMBER_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "context" else pa.int64()) for n, c in zip(_MEMBER_NAMES, columns)], _MEMBER_NAMES)
+
+    return classes.select("c1", "c2", "doc_id", "anchor", "at", "context").mapInArrow(run, _MEMBERS)
+
+
+def _resolved(members: DataFrame, units: Units, compare: Compare, earlier: bool, limit: int, hot: int, level: int = 0) -> DataFrame:
+    """(p1, p2, spans) of the texts or classes whose contexts have repeated windows."""
+    named = members.withColumn("c1", F.xxhash64("context", "at", "anchor")).withColumn("c2", F.xxhash64(F.lit(7), "context", "at", "anchor"))
+    named = save(named, "contexts")
+    classes = named.groupBy("anchor", "c1", "c2").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.first("at").alias("at"), F.first("context").alias("context"))
+    classes = save(classes, "context-classes")
+    sizes = save(classes.groupBy("anchor").agg(F.count("*").alias("distinct")).filter("distinct > 1"), "anchor-sizes")
+    sized = save(classes.join(sizes, "anchor"), "sized-classes")
+    spans = _compared(sized.filter(F.col("distinct") <= hot), compare, limit)
+    large = sized.filter(F.col("distinct") > hot)
+    if level < len(units.parts) and not large.isEmpty():
+        parts = _resolved(_split(large, units, units.parts[level]), units, compare, earlier, limit, hot, level + 1)
+        spans = spans.unionByName(parts.select(F.col("p1").alias("c1"), F.col("p2").alias("c2"), "spans"))
+    spans = save(spans, "class-spans")
+    results = classes.select("c1", "c2", "n", F.col("doc_id").alias("least")).join(spans, ["c1", "c2"], "left").filter("n > 1 OR spans IS NOT NULL")
+    results = save(results, "class-results")
+    joined = named.select("p1", "p2", "doc_id", "first", "last", "c1", "c2").join(results, ["c1", "c2"])
+    whole = F.array(F.struct(F.col("first").cast("int").alias("a"), F.col("last").cast("int").alias("b")))
+    shifted = F.transform(F.coalesce("spans", F.array().cast("array<struct<a:int,b:int>>")), lambda s: F.struct((s["a"] + F.col("first")).cast("int").alias("a"), (s["b"] + F.col("first")).cast("int").alias("b")))
+    ranges = F.when(F.col("doc_id") > F.col("least") if earlier else F.col("n") > 1, whole).otherwise(shifted)
+    # At most the windows of one text or class come together here.
+    return joined.select("p1", "p2", F.explode(ranges).alias("s")).groupBy("p1", "p2").agg(F.collect_list("s").alias("spans"))
 
 
 def hashes(text: Column) -> list[Column]:
@@ -262,21 +302,8 @@ def repeated(docs: DataFrame, units: Units, compare: Compare, earlier: bool, lim
     shared = save(own.groupBy("anchor").count().filter("count > 1").select("anchor"), "shared-anchors")
     per_text = own.join(shared, "anchor").groupBy("t1", "t2", "doc_id").agg(F.collect_set("anchor").alias("anchors"))  # at most a text's own
     chosen = texts.join(save(per_text, "anchors-per-text"), ["t1", "t2", "doc_id"]).select("doc_id", "t1", "t2", "text", "anchors")
-    members = _contexts(chosen, units).withColumn("c1", F.xxhash64("context", "at")).withColumn("c2", F.xxhash64(F.lit(7), "context", "at"))
-    members = save(members, "contexts")
-    classes = members.groupBy("anchor", "c1", "c2").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.first("at").alias("at"), F.first("context").alias("context"))
-    classes = save(classes, "context-classes")
-    sizes = save(classes.groupBy("anchor").agg(F.count("*").alias("distinct")).filter("distinct > 1"), "anchor-sizes")
-    sized = save(classes.join(sizes, "anchor"), "sized-classes")
-    compared = save(_compared(sized.filter(F.col("distinct") <= hot), compare, limit), "compared")
-    counted = _counted(sized.filter(F.col("distinct") > hot), units, earlier)
-    spans = save(compared.unionByName(counted), "class-spans")
-    all_of = F.col("m.doc_id") > F.col("r.least") if earlier else F.col("r.n") > 1
-    results = classes.select("c1", "c2", "n", F.col("doc_id").alias("least")).join(spans, ["c1", "c2"], "left").filter("n > 1 OR spans IS NOT NULL")
-    results = save(results, "class-results")
-    joined = members.select("t1", "t2", "doc_id", "first", "last", "c1", "c2").alias("m").join(results.alias("r"), (F.col("m.c1") == F.col("r.c1")) & (F.col("m.c2") == F.col("r.c2")))
-    ranges = F.when(all_of, F.array(F.struct(F.col("first").alias("a"), F.col("last").alias("b")))).otherwise(F.transform(F.coalesce("spans", F.array().cast("array<struct<a:int,b:int>>")), lambda s: F.struct((s["a"] + F.col("first")).alias("a"), (s["b"] + F.col("first")).alias("b"))))
-    per_text = joined.select("t1", "t2", F.explode(ranges).alias("s")).groupBy("t1", "t2").agg(F.collect_list("s").alias("spans"))
+    found = _resolved(_contexts(chosen, units), units, compare, earlier, limit, hot)
+    per_text = found.select(F.col("p1").alias("t1"), F.col("p2").alias("t2"), "spans")
     info = whole.join(save(per_text, "text-spans"), ["t1", "t2"], "left").filter("copies > 1 OR spans IS NOT NULL")
     return save(info.withColumnRenamed("doc_id", "first_id"), "repeats")
 
