@@ -194,3 +194,15 @@ def near_dedup(vectors: DataFrame, id_col: str = "vec_id", label_col: str = "lab
 
 def op6_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     return near_dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE = r"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS n FROM v),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93),
+c AS (SELECT vec_id, vec_id AS least FROM embeddings UNION SELECT l.b, c.least FROM c JOIN l ON l.a = c.vec_id WHERE c.least < l.b),
+m AS (SELECT vec_id, min(least) AS component_id FROM c GROUP BY vec_id),
+k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT m.vec_id, coalesce(k.n, 0)::BIGINT AS n_links, m.component_id, m.vec_id = m.component_id AS kept FROM m LEFT JOIN k ON k.a = m.vec_id
+"""

@@ -168,3 +168,16 @@ def word_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def op4_fm_dedup(spark, sf_dir: str) -> DataFrame:
     result = word_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return result.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+h AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM p),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM h),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM f WHERE least < doc_id),
+k AS (SELECT d.doc_id, u.i, u.x FROM d, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x) u),
+r AS (SELECT k.doc_id, k.i, k.x, g.i IS NOT NULL AS removed FROM k LEFT JOIN g ON g.doc_id = k.doc_id AND g.i = k.i),
+t AS (SELECT doc_id, count(*) FILTER (removed) AS n_removed, coalesce(string_agg(x, ' ' ORDER BY i) FILTER (NOT removed), '') AS kept FROM r GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN t ON t.doc_id = d.doc_id
+"""

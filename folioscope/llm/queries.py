@@ -19,6 +19,9 @@ QUERIES = {
 
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op2_suffix_dedup": suffix_dedup.ORACLE,
+    "op4_fm_dedup": fm_dedup.ORACLE,
+    "op6_embedding_dedup": embedding_dedup.ORACLE,
     "op8_licences": licences.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }

@@ -108,3 +108,19 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     result = substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return result.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT r, h, unnest(range(len(h) // 2 - 199)) AS i FROM d WHERE len(h) >= 400),
+m AS (SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS w FROM p),
+f AS (SELECT r, i, count(*) OVER (PARTITION BY w) AS n FROM m),
+s AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200, true) AS opens FROM f WHERE n > 1),
+g AS (SELECT r, i, sum(opens::INT) OVER (PARTITION BY r ORDER BY i) AS k FROM s),
+x AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY r, k),
+y AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM x),
+t AS (SELECT y.r, count(*) AS n_spans, sum(b - a) AS n_removed,
+      string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept FROM y JOIN d ON d.r = y.r GROUP BY y.r)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN t ON t.r = d.r
+"""
