@@ -30,11 +30,21 @@ from pyspark.sql import functions as F
 from .durable import small_batches
 
 BASE = 0x2800
-REMEMBERED, SHORT = 300_000, 48
-#: A space between two characters that neither the pattern nor Python takes as white space.
+REMEMBERED, SHORT = 1_000_000, 32
+#: White space other than space and line feed, as the pattern or Python sees it: in ASCII, and beyond.
+_RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_WIDE = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+#: A space between two characters that are no white space.
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f]) (?=[^\s\x1c-\x1f])")
 
 
+def segments(text: str) -> list[str]:
+    """Parts between single spaces that stand between characters other than white space."""
+    plain = not ("\n " in text or " \n" in text or any(c in text for c in _RARE) or not text.isascii() and any(c in text for c in _WIDE))
+    parts = text.split(" ") if plain else _CUT.split(text)
+    return _CUT.split(text) if plain and "" in parts else parts
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -81,6 +91,9 @@ def model_proto(tokens: list[bytes]) -> bytes:
     return b"".join(pieces) + _field(2, trainer) + _field(3, normaliser)
 
 
+_one = struct.Struct("<i").pack
+
+
 class Codec:
     """Encodes texts to little-endian int32 ids and ids to bytes."""
 
@@ -93,28 +106,53 @@ class Codec:
         self.ranks = {t: k for k, t in enumerate(self.tokens)}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_proto(self.tokens))
         self.find = regex.compile(public_tokenizers.PATTERN).findall
-        self.known: dict[str, bytes] = {}
-
-    def _segments(self, segments: list[str]) -> list[bytes]:
-        """Ids of each segment, as packed int32; merges run in one sentencepiece call."""
-        parts = [[p.encode() for p in self.find(s)] for s in segments]
-        wanted = list(dict.fromkeys(p for own in parts for p in own if p not in self.ranks))
-        merged = self.model.encode([_mapped(p) for p in wanted], num_threads=1) if wanted else []
-        ids = dict(zip(wanted, merged))
-        return [struct.pack(f"<{len(flat)}i", *flat) for own in parts for flat in [[i for p in own for i in ((self.ranks[p],) if p in self.ranks else ids[p])]]]
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
+
+    def _tokens(self, tokens: list[str]) -> dict[str, bytes]:
+        """Packed ids of pre-tokens; merges run in one sentencepiece call."""
+        coded = {t: t.encode() for t in tokens}
+        wanted = [t for t, b in coded.items() if b not in self.ranks]
+        made = self.model.encode([_mapped(coded[t]) for t in wanted], num_threads=1) if wanted else []
+        return {t: _one(self.ranks[b]) for t, b in coded.items() if b in self.ranks} | {t: struct.pack(f"<{len(ids)}i", *ids) for t, ids in zip(wanted, made)}
+
+    def _new(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of segments not met before, each with the space before it.
+
+        Full stops or commas behind letters only are a pre-token of their own.
+        """
+        cores = {p: c for p in parts if (c := p.rstrip(".,")).isalpha()}
+        found = {p: self.find(" " + p) for p in parts if p not in cores}
+        wanted = [" " + c for c in cores.values() if c not in self.later]
+        wanted += [p[len(c) :] for p, c in cores.items() if p != c]
+        ids = self._tokens(list(dict.fromkeys([*wanted, *(t for own in found.values() for t in own)])))
+        made = {p: b"".join(map(ids.__getitem__, own)) for p, own in found.items()}
+        for p, c in cores.items():
+            made[c] = self.later[c] if c in self.later else ids[" " + c]
+            if p != c:
+                made[p] = made[c] + ids[p[len(c) :]]
+        return made
 
     def encode(self, text: str | None) -> bytes:
-        segments = _CUT.split(text or "")
-        segments[1:] = [" " + s for s in segments[1:]]
-        found = list(map(self.known.get, segments))
+        head, *parts = segments(text or "")
+        if head not in self.first:
+            if len(self.first) > REMEMBERED // 10:
+                self.first.clear()
+            own = self.find(head)
+            ids = self._tokens(list(dict.fromkeys(own)))
+            begun = b"".join(map(ids.__getitem__, own))
+            if len(head) <= SHORT:
+                self.first[head] = begun
+        else:
+            begun = self.first[head]
+        found = list(map(self.later.get, parts))
         if None in found:
-            missing = list(dict.fromkeys(s for s, b in zip(segments, found) if b is None))
-            made = dict(zip(missing, self._segments(missing)))
-            found = [made[s] if b is None else b for s, b in zip(segments, found)]
-            if len(self.known) + len(made) > REMEMBERED:
-                self.known.clear()
-            self.known.update((s, b) for s, b in made.items() if len(s) <= SHORT)
-        return b"".join(found)
+            made = self._new(list(dict.fromkeys(p for p, b in zip(parts, found) if b is None)))
+            found = [made[p] if b is None else b for p, b in zip(parts, found)]
+            if len(self.later) + len(made) > REMEMBERED:
+                self.later.clear()
+            self.later.update((p, b) for p, b in made.items() if len(p) <= SHORT)
+        return begun + b"".join(found)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
