@@ -1,7 +1,8 @@
 """The training-corpus pipeline over ``documents``.
 
 Stages, in order: quality classifier (rejected documents go), exact dedup, SimHash
-near-dedup (one document of each group stays), suffix-array dedup (repeated
+near-dedup (of documents that share 0.8 of their five-word shingles, or whose
+fingerprints differ in two bits or fewer, one stays), suffix-array dedup (repeated
 passages are cut out of texts) and packing. Each stage works on everything the
 one before has kept and its decisions take effect; all but the last return the
 columns of ``documents``.
@@ -36,7 +37,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, simhash.near_dedup(docs))
+    return _without(docs, simhash.similar_dedup(docs))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,25 +38,35 @@ from .durable import save, small_batches
 WORDS, RADIUS, SEED, KEPT = 3, 2, 42, 6
 
 
-def fingerprint(text: str | None, words: int = WORDS) -> int:
-    """The unsigned 64-bit SimHash of a text's word shingles."""
+def shingle_hashes(text: str | None, words: int = WORDS) -> Iterator[np.ndarray]:
+    """Hashes of a text's word shingles in order, repeats included, some thousands at a time."""
     from xxhash import xxh64_intdigest
 
     own = (text or "").encode().lower().split()  # of bytes: A-Z, and white space 20 and 09-0D
     if not own:
-        return 0
+        return
     joined = b" ".join(own)
     ends = np.cumsum([len(w) + 1 for w in own]) - 1
     n = max(1, len(own) - words + 1)
     first = [0, *(ends[: n - 1] + 1).tolist()]
     last = ends[min(words, len(own)) - 1 :].tolist()
-    ones = np.zeros(64, np.int64)
     for at in range(0, n, 8192):
-        hashes = np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in zip(first[at : at + 8192], last[at : at + 8192])], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+        yield np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in zip(first[at : at + 8192], last[at : at + 8192])], "<u8")
+
+
+def folded(hashes: Iterator[np.ndarray]) -> int:
+    """The unsigned 64-bit SimHash of some hashes; zero of none."""
+    ones, n = np.zeros(64, np.int64), 0
+    for own in hashes:
+        ones += np.unpackbits(own.view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+        n += len(own)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, words: int = WORDS) -> int:
+    return folded(shingle_hashes(text, words))
+
+
 class BKTree:
     """Distinct integers under Hamming distance."""
 
@@ -176,5 +186,130 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return own.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+# Similar texts: links by shingle similarity, which few differing bits alone do not find.
+
+SIMILARITY, SIMILAR_WORDS, WIDE_RADIUS, KEYS, BLOCK = 0.8, 5, 20, 5, 1024
+
+
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, keys: int = KEYS) -> DataFrame:
+    """(doc_id, fp, keys, shingles): fingerprint, min-hash keys, and the sorted set of 32-bit shingle hashes."""
+    small_batches(docs.sparkSession)
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    seeds = np.random.default_rng(SEED).integers(0, 1 << 63, keys, dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, least, sets = [], [], []
+            for cell in batch.column(1):
+                parts = list(shingle_hashes(cell.as_py(), words))
+                own = np.unique(np.concatenate(parts)) if parts else np.array([], np.uint64)
+                fps.append(folded(iter(parts)))
+                mixed = [(own ^ s) * np.uint64(0x9E3779B97F4A7C15) for s in seeds] if parts else []
+                least.append([int((m ^ (m >> np.uint64(32))).min().view(np.int64)) for m in mixed])
+                sets.append(np.unique(own.astype("<u4")).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(least, pa.list_(pa.int64())), pa.array(sets, pa.binary())], ["doc_id", "fp", "keys", "shingles"])
+
+    return chosen.mapInArrow(run, "doc_id long, fp long, keys array<long>, shingles binary")
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
+    """Whether two sets share that part of their union."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both)
+
+
+def _joined(ids: np.ndarray, fps: list[int], sets: list[np.ndarray], blocks: np.ndarray, radius: int, similarity: float) -> list[tuple[int, int]]:
+    """Links between a task's texts that connect what similar ones connect; of two blocks, only across."""
+    root, tree, of = list(range(len(ids))), BKTree(), {}
+    crossing = len(set(blocks.tolist())) > 1
+    links = []
+
+    def top(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    for k in np.argsort(blocks, kind="stable").tolist() if crossing else range(len(ids)):
+        if not crossing or blocks[k] != blocks.min():
+            for value in tree.near(fps[k], radius):
+                for other in of[value]:
+                    a, b = top(k), top(other)
+                    if a != b and similar(sets[k], sets[other], similarity):
+                        root[a] = b
+                        links.append((int(ids[k]), int(ids[other])))
+        if not crossing or blocks[k] == blocks.min():
+            if fps[k] not in of:
+                tree.add(fps[k])
+            of.setdefault(fps[k], []).append(k)
+    return links
+
+
+def similar_links(distinct: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) among (id, fp, keys, shingles) that connect similar texts.
+
+    Texts of similarity 0.8 share a min-hash key with probability 0.9997 at five
+    keys. The texts of a key are searched by a BK-tree with a wide radius, and each
+    link is verified on the whole shingle sets. A key of more than ``block`` texts is
+    cut into blocks, every two of which meet in a task of their own.
+    """
+    entries = distinct.select("id", F.posexplode("keys").alias("table", "key"))
+    sizes = save(entries.groupBy("table", "key").agg(F.count("*").alias("n")).filter("n > 1"), "key-sizes")
+    several = save(entries.join(sizes, ["table", "key"]), "shared-keys")
+    whole = several.join(distinct.select("id", "fp", "shingles"), "id").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    keys = ["table", "key", "b1", "b2"]
+    dealt = (
+        whole.withColumn("own", own)
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("table", "key", F.least("own", "with").alias("b1"), F.greatest("own", "with").alias("b2"), "own", "id", "fp", "shingles")
+        .repartition(*keys)
+        .sortWithinPartitions(*keys)
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in _and_end(batches):
+            if batch is not None:
+                fresh = pa.Table.from_batches([batch])
+                rest = fresh if rest is None else pa.concat_tables([rest, fresh])
+            if rest is None or not rest.num_rows:
+                continue
+            key = [rest.column(k).to_numpy() for k in range(4)]
+            starts = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in key], axis=0)])
+            ends = np.r_[starts[1:], rest.num_rows]
+            if batch is not None:
+                starts, ends = starts[:-1], ends[:-1]
+            found = []
+            for s, e in zip(starts.tolist(), ends.tolist()):
+                if e - s > 1:
+                    group = rest.slice(s, e - s)
+                    sets = [np.frombuffer(x, "<u4") for x in group.column("shingles").to_pylist()]
+                    fps = group.column("fp").to_numpy().view(np.uint64).tolist()
+                    found += _joined(group.column("id").to_numpy(), fps, sets, group.column("own").to_numpy(), radius, similarity)
+            rest = rest.slice(int(ends[-1]) if len(ends) else 0)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def similar_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, component_id, kept): texts linked by nearly equal fingerprints or by shingle similarity.
+
+    The same defined cases as above; a block of two that are both of one text's
+    shingles never occurs, since texts of equal shingles are one.
+    """
+    close = near_dedup(docs, id_col, text_col)
+    own = save(sketches(docs, id_col, text_col, words), "sketches")
+    named = own.filter("doc_id IS NOT NULL").withColumn("s1", F.xxhash64("shingles")).withColumn("s2", F.xxhash64(F.lit(7), "shingles"))
+    distinct = save(named.groupBy("fp", "s1", "s2").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys"), F.first("shingles").alias("shingles")), "distinct-sketches")
+    equal = named.select("fp", "s1", "s2", F.col("doc_id").alias("a")).join(distinct.select("fp", "s1", "s2", F.col("id").alias("b")), ["fp", "s1", "s2"]).select("a", "b")
+    links = equal.unionByName(similar_links(distinct, similarity=similarity)).unionByName(close.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")))
+    joined = components(links)
+    return own.select("doc_id").join(joined, own["doc_id"] == joined["node"], "left").select("doc_id", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"))
+
+
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "fingerprint", "component_id")

@@ -200,3 +200,30 @@ def test_embedding_links_are_true_and_nearly_all_found(spark, block, monkeypatch
     assert np.mean([found[k]["component_id"] == comp[k] for k in comp]) > 0.97
     assert all(x["kept"] == (x["component_id"] == x["vec_id"]) for x in found.values())
     assert embedding_dedup.near_dedup(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_similar_texts_are_joined(spark, block, monkeypatch):
+    monkeypatch.setattr(simhash.similar_links, "__defaults__", (simhash.WIDE_RADIUS, simhash.SIMILARITY, block))
+    r = random.Random(block)
+    words = [f"w{k}" for k in range(3000)]
+    rows = [(1, None), (2, ""), (3, "a b"), (4, "A  b")]
+    for base in range(12):
+        text = [r.choice(words) for _ in range(r.randint(60, 400))]
+        for _ in range(9):
+            own = list(text)
+            for _ in range(r.randint(0, len(own) // 25)):
+                own[r.randrange(len(own))] = r.choice(words)
+            rows.append((10 + len(rows), " ".join(own)))
+    rows.append(rows[50])
+    sets = {k: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for k, t in rows}
+    fp = {k: slow_fingerprint(t) for k, t in rows}
+    near = [(a, b) for a in sets for b in sets if a < b and (len(sets[a] & sets[b]) >= 0.8 * max(1, len(sets[a] | sets[b])) or (fp[a] ^ fp[b]).bit_count() <= 2)]
+    comp = union(near, sets)
+    assert len(near) > 100
+    docs = spark.createDataFrame([(*x, 1) for x in rows] + [(None, "q", 1)], "doc_id long, text string, keys int").repartition(3)
+    found = simhash.similar_dedup(docs).collect()
+    assert len(found) == len(rows) + 1
+    got = {x["doc_id"]: x["component_id"] for x in found}
+    assert {k: got[k] for k in comp} == comp
+    assert simhash.similar_dedup(docs.limit(0)).count() == 0

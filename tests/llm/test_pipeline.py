@@ -27,12 +27,14 @@ def plain(rows, kept):
             k = root[k]
         return k
 
-    ids = sorted(fp)
-    values = np.array([fp[k] for k in ids], np.uint64)
-    for i, k in enumerate(ids):
-        for j in np.flatnonzero(np.bitwise_count(values[:i] ^ values[i]) <= 2):
-            a, b = sorted((top(k), top(ids[j])))
-            root[b] = a
+    words = {k: t.encode().lower().split() for k, t in docs.items()}
+    sets = {k: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for k, w in words.items()}
+    for k in docs:
+        for j in docs:
+            both = len(sets[k] & sets[j])
+            if j < k and ((fp[k] ^ fp[j]).bit_count() <= 2 or both and both >= 0.8 * (len(sets[k]) + len(sets[j]) - both)):
+                a, b = sorted((top(k), top(j)))
+                root[b] = a
     docs = {k: t for k, t in docs.items() if top(k) == k}
     data = {k: t.encode() for k, t in docs.items()}
     count = Counter(hash(d[p : p + 200]) for d in data.values() for p in range(len(d) - 199))
