@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .durable import save, small_batches
+from .durable import clear, save, small_batches
 from .simhash import _and_end
 
 HOT, BLOCK = 256, 1 << 20
@@ -260,22 +260,22 @@ def _split(classes: DataFrame, units: Units, size: int) -> DataFrame:
     return classes.select("c1", "c2", "doc_id", "anchor", "at", "context").mapInArrow(run, _MEMBERS)
 
 
-def _resolved(members: DataFrame, units: Units, compare: Compare, earlier: bool, limit: int, hot: int, level: int = 0) -> DataFrame:
+def _resolved(members: DataFrame, units: Units, compare: Compare, earlier: bool, limit: int, hot: int, scratch: list[DataFrame], level: int = 0) -> DataFrame:
     """(p1, p2, spans) of the texts or classes whose contexts have repeated windows."""
     named = members.withColumn("c1", F.xxhash64("context", "at", "anchor")).withColumn("c2", F.xxhash64(F.lit(7), "context", "at", "anchor"))
-    named = save(named, "contexts")
+    named = save(named, "contexts", scratch)
     classes = named.groupBy("anchor", "c1", "c2").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.first("at").alias("at"), F.first("context").alias("context"))
-    classes = save(classes, "context-classes")
-    sizes = save(classes.groupBy("anchor").agg(F.count("*").alias("distinct")).filter("distinct > 1"), "anchor-sizes")
-    sized = save(classes.join(sizes, "anchor"), "sized-classes")
+    classes = save(classes, "context-classes", scratch)
+    sizes = save(classes.groupBy("anchor").agg(F.count("*").alias("distinct")).filter("distinct > 1"), "anchor-sizes", scratch)
+    sized = save(classes.join(sizes, "anchor"), "sized-classes", scratch)
     spans = _compared(sized.filter(F.col("distinct") <= hot), compare, limit)
     large = sized.filter(F.col("distinct") > hot)
     if level < len(units.parts) and not large.isEmpty():
-        parts = _resolved(_split(large, units, units.parts[level]), units, compare, earlier, limit, hot, level + 1)
+        parts = _resolved(_split(large, units, units.parts[level]), units, compare, earlier, limit, hot, scratch, level + 1)
         spans = spans.unionByName(parts.select(F.col("p1").alias("c1"), F.col("p2").alias("c2"), "spans"))
-    spans = save(spans, "class-spans")
+    spans = save(spans, "class-spans", scratch)
     results = classes.select("c1", "c2", "n", F.col("doc_id").alias("least")).join(spans, ["c1", "c2"], "left").filter("n > 1 OR spans IS NOT NULL")
-    results = save(results, "class-results")
+    results = save(results, "class-results", scratch)
     joined = named.select("p1", "p2", "doc_id", "first", "last", "c1", "c2").join(results, ["c1", "c2"])
     whole = F.array(F.struct(F.col("first").cast("int").alias("a"), F.col("last").cast("int").alias("b")))
     shifted = F.transform(F.coalesce("spans", F.array().cast("array<struct<a:int,b:int>>")), lambda s: F.struct((s["a"] + F.col("first")).cast("int").alias("a"), (s["b"] + F.col("first")).cast("int").alias("b")))
@@ -295,17 +295,20 @@ def repeated(docs: DataFrame, units: Units, compare: Compare, earlier: bool, lim
     those that also occur under a smaller doc_id. A null doc_id comes after all.
     """
     small_batches(docs.sparkSession)
+    scratch: list[DataFrame] = []
     texts = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), *hashes(F.col("text")), "text")
-    anchored = save(_anchored(texts, units), "anchored")
-    whole = save(anchored.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "texts")
-    own = save(anchored.join(whole.drop("copies"), ["t1", "t2", "doc_id"]).select("t1", "t2", "doc_id", F.explode("anchors").alias("anchor")), "own-anchors")
-    shared = save(own.groupBy("anchor").count().filter("count > 1").select("anchor"), "shared-anchors")
+    anchored = save(_anchored(texts, units), "anchored", scratch)
+    whole = save(anchored.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "texts", scratch)
+    own = save(anchored.join(whole.drop("copies"), ["t1", "t2", "doc_id"]).select("t1", "t2", "doc_id", F.explode("anchors").alias("anchor")), "own-anchors", scratch)
+    shared = save(own.groupBy("anchor").count().filter("count > 1").select("anchor"), "shared-anchors", scratch)
     per_text = own.join(shared, "anchor").groupBy("t1", "t2", "doc_id").agg(F.collect_set("anchor").alias("anchors"))  # at most a text's own
-    chosen = texts.join(save(per_text, "anchors-per-text"), ["t1", "t2", "doc_id"]).select("doc_id", "t1", "t2", "text", "anchors")
-    found = _resolved(_contexts(chosen, units), units, compare, earlier, limit, hot)
+    chosen = texts.join(save(per_text, "anchors-per-text", scratch), ["t1", "t2", "doc_id"]).select("doc_id", "t1", "t2", "text", "anchors")
+    found = _resolved(_contexts(chosen, units), units, compare, earlier, limit, hot, scratch)
     per_text = found.select(F.col("p1").alias("t1"), F.col("p2").alias("t2"), "spans")
-    info = whole.join(save(per_text, "text-spans"), ["t1", "t2"], "left").filter("copies > 1 OR spans IS NOT NULL")
-    return save(info.withColumnRenamed("doc_id", "first_id"), "repeats")
+    info = whole.join(save(per_text, "text-spans", scratch), ["t1", "t2"], "left").filter("copies > 1 OR spans IS NOT NULL")
+    repeats = save(info.withColumnRenamed("doc_id", "first_id"), "repeats")
+    clear(scratch)
+    return repeats
 
 
 def covered(starts: list[tuple[int, int]], window: int) -> list[tuple[int, int]]:

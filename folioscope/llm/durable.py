@@ -8,6 +8,7 @@ executor then costs a re-read and never a recomputation or a failure.
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,6 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = _own[context.applicationId] = tempfile.mkdtemp(prefix="folioscope-")
+        atexit.register(shutil.rmtree, base, True)
         context.setCheckpointDir(base)
     return base.rstrip("/")
 
@@ -39,8 +41,11 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return it read back; removed when the application ends."""
+def save(df: DataFrame, name: str, scratch: list[DataFrame] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and return it read back; removed when the application ends.
+
+    ``scratch`` collects tables that ``clear`` removes once their last reader is written.
+    """
     spark = df.sparkSession
     root = f"{shared_dir(spark)}/folioscope-{spark.sparkContext.applicationId}"
     if root not in _own:
@@ -50,6 +55,8 @@ def save(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._durable_path = path
+    if scratch is not None:
+        scratch.append(table)
     return table
 
 
@@ -58,6 +65,12 @@ def drop(table: DataFrame) -> None:
     _remove(table.sparkSession, table._durable_path)
 
 
+def clear(scratch: list[DataFrame]) -> None:
+    for table in scratch:
+        drop(table)
+    scratch.clear()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds, so that very long texts do not fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")

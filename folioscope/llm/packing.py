@@ -28,6 +28,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 from unicodedata import is_normalized
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from .durable import save, small_batches
 
 WINDOW, GRID, DEPTH, END = 4096, 64, 5, 2
-REMEMBERED, SHORT = 1_000_000, 32
+REMEMBERED, SHORT = 400_000, 32
 #: Texts with these are tokenised whole: white space does not bound words there, or case depends on what follows.
 _WHOLE = ("\x1c", "\x1d", "\x1e", "\x1f", "<|", "\u03a3")
 
@@ -97,7 +98,7 @@ class WordTokenizer:
             made = self._new(list(dict.fromkeys(w for w, b in zip(words, found) if b is None)))
             found = [made[w] if b is None else b for w, b in zip(words, found)]
             if len(self.known) + len(made) > REMEMBERED:
-                self.known.clear()
+                self.known = dict(islice(self.known.items(), REMEMBERED // 2))  # frequent words come early
             self.known.update((w, b) for w, b in made.items() if len(w) <= SHORT)
         return b"".join(found)
 

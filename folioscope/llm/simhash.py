@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .durable import save, small_batches
+from .durable import clear, save, small_batches
 
 WORDS, RADIUS, SEED, KEPT = 3, 2, 42, 6
 
@@ -174,6 +174,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
     yield from batches
+    pa.default_memory_pool().release_unused()
     yield None
 
 
@@ -208,6 +209,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
                 least.append([int((m ^ (m >> np.uint64(32))).min().view(np.int64)) for m in mixed])
                 sets.append(np.unique(own.astype("<u4")).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(least, pa.list_(pa.int64())), pa.array(sets, pa.binary())], ["doc_id", "fp", "keys", "shingles"])
+        pa.default_memory_pool().release_unused()
 
     return chosen.mapInArrow(run, "doc_id long, fp long, keys array<long>, shingles binary")
 
@@ -247,18 +249,18 @@ def _joined(ids: np.ndarray, fps: list[int], sets: list[np.ndarray], blocks: np.
     return links
 
 
-def similar_links(distinct: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) among (id, fp, keys, shingles) that connect similar texts.
+def similar_links(chosen: DataFrame, sets: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, block: int = BLOCK, *, scratch: list[DataFrame] | None = None) -> DataFrame:
+    """Links (a, b) that connect similar texts among ``chosen`` (id, keys), whose ``sets`` are (id, fp, shingles).
 
     Texts of similarity 0.8 share a min-hash key with probability 0.9997 at five
     keys. The texts of a key are searched by a BK-tree with a wide radius, and each
     link is verified on the whole shingle sets. A key of more than ``block`` texts is
     cut into blocks, every two of which meet in a task of their own.
     """
-    entries = distinct.select("id", F.posexplode("keys").alias("table", "key"))
-    sizes = save(entries.groupBy("table", "key").agg(F.count("*").alias("n")).filter("n > 1"), "key-sizes")
-    several = save(entries.join(sizes, ["table", "key"]), "shared-keys")
-    whole = several.join(distinct.select("id", "fp", "shingles"), "id").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    entries = chosen.select("id", F.posexplode("keys").alias("table", "key"))
+    sizes = save(entries.groupBy("table", "key").agg(F.count("*").alias("n")).filter("n > 1"), "key-sizes", scratch)
+    several = save(entries.join(sizes, ["table", "key"]), "shared-keys", scratch)
+    whole = several.join(sets, "id").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     keys = ["table", "key", "b1", "b2"]
     dealt = (
@@ -301,14 +303,21 @@ def similar_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     The same defined cases as above; a block of two that are both of one text's
     shingles never occurs, since texts of equal shingles are one.
     """
+    scratch: list[DataFrame] = []
     close = near_dedup(docs, id_col, text_col)
-    own = save(sketches(docs, id_col, text_col, words), "sketches")
-    named = own.filter("doc_id IS NOT NULL").withColumn("s1", F.xxhash64("shingles")).withColumn("s2", F.xxhash64(F.lit(7), "shingles"))
-    distinct = save(named.groupBy("fp", "s1", "s2").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys"), F.first("shingles").alias("shingles")), "distinct-sketches")
-    equal = named.select("fp", "s1", "s2", F.col("doc_id").alias("a")).join(distinct.select("fp", "s1", "s2", F.col("id").alias("b")), ["fp", "s1", "s2"]).select("a", "b")
-    links = equal.unionByName(similar_links(distinct, similarity=similarity)).unionByName(close.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")))
+    marked = sketches(docs, id_col, text_col, words).withColumn("s1", F.xxhash64("shingles")).withColumn("s2", F.xxhash64(F.lit(7), "shingles"))
+    own = save(marked, "sketches", scratch)
+    named = own.filter("doc_id IS NOT NULL")
+    first = save(named.groupBy("fp", "s1", "s2").agg(F.min("doc_id").alias("id")), "first-sketches", scratch)
+    equal = named.select("fp", "s1", "s2", F.col("doc_id").alias("a")).join(first.select("fp", "s1", "s2", F.col("id").alias("b")), ["fp", "s1", "s2"]).select("a", "b")
+    chosen = named.select("fp", "s1", "s2", F.col("doc_id").alias("id"), "keys").join(first, ["fp", "s1", "s2", "id"], "left_semi")
+    sets = named.select(F.col("doc_id").alias("id"), "fp", "shingles")
+    links = equal.unionByName(similar_links(chosen, sets, similarity=similarity, scratch=scratch)).unionByName(close.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")))
     joined = components(links)
-    return own.select("doc_id").join(joined, own["doc_id"] == joined["node"], "left").select("doc_id", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"))
+    result = own.select("doc_id").join(joined, own["doc_id"] == joined["node"], "left").select("doc_id", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"))
+    result = save(result, "similar")
+    clear(scratch)
+    return result
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
