@@ -281,7 +281,8 @@ def _resolved(members: DataFrame, units: Units, compare: Compare, earlier: bool,
     shifted = F.transform(F.coalesce("spans", F.array().cast("array<struct<a:int,b:int>>")), lambda s: F.struct((s["a"] + F.col("first")).cast("int").alias("a"), (s["b"] + F.col("first")).cast("int").alias("b")))
     ranges = F.when(F.col("doc_id") > F.col("least") if earlier else F.col("n") > 1, whole).otherwise(shifted)
     # At most the windows of one text or class come together here.
-    return joined.select("p1", "p2", F.explode(ranges).alias("s")).groupBy("p1", "p2").agg(F.collect_list("s").alias("spans"))
+    found = joined.select("p1", "p2", ranges.alias("own")).filter(F.size("own") > 0)
+    return found.groupBy("p1", "p2").agg(F.flatten(F.collect_list("own")).alias("spans"))
 
 
 def hashes(text: Column) -> list[Column]:
