@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .durable import save, small_batches
 
 WINDOW, GRID, DEPTH, END = 4096, 64, 5, 2
-REMEMBERED, SHORT = 400_000, 32
+REMEMBERED, SHORT = 700_000, 32
 #: Texts with these are tokenised whole: white space does not bound words there, or case depends on what follows.
 _WHOLE = ("\x1c", "\x1d", "\x1e", "\x1f", "<|", "\u03a3")
 
