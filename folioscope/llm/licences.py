@@ -8,8 +8,14 @@ of other than letters a-z and digits to one space) and looked up. A licence is
 found if the identifiers of its rule occur in this order in either sequence;
 other known sentences may stand between them.
 
-Only sentences that hold a cue word are normalised; every known sentence holds
-one, so nothing is lost.
+Only sentences that hold a cue word are looked up, each alone and with the
+sentences that directly follow it: a known text that the cut makes several
+(``SPDX-License-Identifier: MIT``) is known by all of them from its first cue on.
+Every known text holds a cue. What stands before the first one is not asked for;
+in the given texts that is "This program is free software", which names no licence.
+
+The registered SQL looks up each cued sentence alone. It differs on SPDX lines and
+on the MPL notice, whose licence or version it does not see.
 
 Defined cases: a null or empty text has no sentences and no licences. Repeated
 rows give repeated results. An empty table gives an empty result. Columns other
@@ -101,7 +107,19 @@ def _parts(sentences: dict[str, str]) -> dict[str, list[str]]:
 
 
 def tables(sentences: dict[str, str] = SENTENCES, rules=RULES) -> tuple[dict[str, str], list[tuple[str, list[str]]]]:
-    """Normal form to identifier, and the rules in those identifiers, for sentences as the scan cuts them."""
+    """Normal forms, line by line from the first cue on, to identifier; and the rules in those identifiers."""
+    known: dict[str, str] = {}
+    names: dict[str, list[str]] = {}
+    for key, parts in _parts(sentences).items():
+        first = next((n for n, p in enumerate(parts) if re.search(_CUE, p)), None)
+        if first is None:
+            continue
+        names[key] = [known.setdefault("\n".join(parts[first:]), f"{key}.0")]
+    return known, [(licence, [i for key in keys for i in names.get(key, [])]) for licence, keys in rules]
+
+
+def _cued_tables(sentences: dict[str, str] = SENTENCES, rules=RULES) -> tuple[dict[str, str], list[tuple[str, list[str]]]]:
+    """The tables of the SQL: only parts that hold a cue themselves."""
     known: dict[str, str] = {}
     names: dict[str, list[str]] = {}
     for key, parts in _parts(sentences).items():
@@ -123,7 +141,14 @@ def _sequence(sentences: Column, known: dict[str, str]) -> Column:
     def form(s: Column) -> Column:
         return F.btrim(F.regexp_replace(F.translate(s, string.ascii_uppercase, string.ascii_lowercase), "[^a-z0-9]+", " "))
 
-    found = F.transform(F.filter(sentences, lambda s: s.rlike(_CUE)), lambda s: F.element_at(lookup, form(s)))
+    widths = sorted({form.count("\n") + 1 for form in known}, reverse=True)
+    windows = F.arrays_zip(*[F.slice(sentences, k + 1, F.size(sentences)) for k in range(widths[0])])
+
+    def longest(w: Column) -> Column:
+        forms = [F.concat(*[x for k in range(n) for x in (F.lit("\n"), form(w[str(k)]))][1:]) for n in widths]
+        return F.coalesce(*[F.element_at(lookup, f) for f in forms])
+
+    found = F.transform(F.filter(windows, lambda w: w["0"].rlike(_CUE)), longest)
     return F.filter(found, lambda i: i.isNotNull())
 
 
@@ -136,11 +161,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", senten
     by_paragraph = F.split(F.translate(unwrapped, "\u001e", "\n"), "\n")
     none = F.array().cast("array<string>")
     cued = text.rlike(_CUE)
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.when(cued, _sequence(by_line, known)).otherwise(none).alias("sentence_ids"),
-        F.when(cued, _sequence(by_paragraph, known)).otherwise(none).alias("wrapped_ids"),
-    )
+    cut = docs.select(F.col(id_col).alias("doc_id"), F.when(cued, by_line).otherwise(none).alias("lines"), F.when(cued, by_paragraph).otherwise(none).alias("paragraphs"))
+    rows = cut.select("doc_id", _sequence(F.col("lines"), known).alias("sentence_ids"), _sequence(F.col("paragraphs"), known).alias("wrapped_ids"))
     framed = [F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" ")) for c in ("sentence_ids", "wrapped_ids")]
     found = F.array(*[F.when(framed[0].rlike(rule_pattern(ids)) | framed[1].rlike(rule_pattern(ids)), F.lit(licence)) for licence, ids in ordered])
     return rows.select(
@@ -157,7 +179,7 @@ def op8_licences(spark, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    known, ordered = tables()
+    known, ordered = _cued_tables()
 
     def quoted(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"

@@ -129,3 +129,25 @@ def test_licence_rules(spark):
     rows = [(1, full), (2, wrong), (3, header), (4, "words\nReleased under the MIT License. more"), (5, "Licensed under CC BY-NC 4.0.\nx\nReleased under the MIT License."), (6, None), (7, ""), (8, "a license is here"), (9, "x " * 50000 + "\nReleased under the MIT license!")]
     found = {x["doc_id"]: x["licences"] for x in licences.scan(spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, licences int")).collect()}
     assert found == {1: ["MIT"], 2: [], 3: ["Apache-2.0"], 4: ["MIT"], 5: ["CC-BY-NC-4.0", "MIT"], 6: [], 7: [], 8: [], 9: ["MIT"]}
+
+
+def test_each_licence_sentence_names_its_own_licence(spark):
+    rows = {"\n".join(licences.SENTENCES[k] for k in keys): [licence] for licence, keys in licences.RULES}
+    full = "\n\n".join(licences.SENTENCES[k] for k in ("bsd.grant", "bsd.endorse", "bsd.warranty"))
+    rows |= {full: ["BSD-2-Clause", "BSD-3-Clause"]}
+    rows["\n".join(licences.SENTENCES[k] for k in ("bsd.grant", "bsd.endorse", "bsd.warranty"))] = ["BSD-2-Clause", "BSD-3-Clause"]
+    rows |= {
+        "SPDX-License-Identifier: LGPL-2.1-only": [],
+        "SPDX-License-Identifier: LGPL-2.1-only\nA word about a license:\nMIT": [],
+        "// SPDX-License-Identifier: MPL-2.0\r\nint x;": ["MPL-2.0"],
+        "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: Apache-2.0": ["Apache-2.0", "MIT"],
+        "SPDX-License-Identifier:": [],
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.": [],
+        "// subject to\n// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy": [],
+        "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy": ["MPL-2.0"],
+        "Foo is free software: " + licences.SENTENCES["gpl3.grant"].split(": ")[1] + "\n" + licences.SENTENCES["gpl3.warranty"]: ["GPL-3.0"],
+    }
+    texts = list(rows)
+    found = {x["doc_id"]: x for x in licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert {t: found[k]["licences"] for k, t in enumerate(texts)} == rows
+    assert found[texts.index("SPDX-License-Identifier: MIT")]["sentence_ids"] == ["spdx.mit.0"]
