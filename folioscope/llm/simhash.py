@@ -193,7 +193,7 @@ SIMILARITY, SIMILAR_WORDS, WIDE_RADIUS, KEYS, BLOCK = 0.8, 5, 20, 5, 1024
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, keys: int = KEYS) -> DataFrame:
-    """(doc_id, fp, keys, shingles): fingerprint, min-hash keys, and the sorted set of 32-bit shingle hashes."""
+    """(doc_id, fp, keys, shingles): fingerprint of the distinct shingles, min-hash keys, and the sorted set of 32-bit shingle hashes."""
     small_batches(docs.sparkSession)
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     seeds = np.random.default_rng(SEED).integers(0, 1 << 63, keys, dtype=np.uint64)
@@ -204,7 +204,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
             for cell in batch.column(1):
                 parts = list(shingle_hashes(cell.as_py(), words))
                 own = np.unique(np.concatenate(parts)) if parts else np.array([], np.uint64)
-                fps.append(folded(iter(parts)))
+                fps.append(folded(own[a : a + 8192] for a in range(0, len(own), 8192)))
                 mixed = [(own ^ s) * np.uint64(0x9E3779B97F4A7C15) for s in seeds] if parts else []
                 least.append([int((m ^ (m >> np.uint64(32))).min().view(np.int64)) for m in mixed])
                 sets.append(np.unique(own.astype("<u4")).tobytes())
@@ -222,8 +222,18 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     return both >= similarity * (len(a) + len(b) - both)
 
 
+def _histograms(sets: list[np.ndarray]) -> np.ndarray:
+    """How many hashes of each set fall in each bucket; two sets share no more than the sum of the lesser counts."""
+    buckets = min(1024, max(64, 1 << (sum(map(len, sets)) // (4 * len(sets))).bit_length()))
+    return np.array([np.bincount(x & np.uint32(buckets - 1), minlength=buckets) for x in sets], np.int32)
+
+
 def _joined(ids: np.ndarray, fps: list[int], sets: list[np.ndarray], blocks: np.ndarray, radius: int, similarity: float) -> list[tuple[int, int]]:
-    """Links between a task's texts that connect what similar ones connect; of two blocks, only across."""
+    """Links between a task's texts that connect what similar ones connect; of two blocks, only across.
+
+    The tree finds most links soon. Pairs beyond the radius that are still apart are
+    then verified too, unless their sizes or histograms rule the similarity out.
+    """
     root, tree, of = list(range(len(ids))), BKTree(), {}
     crossing = len(set(blocks.tolist())) > 1
     links = []
@@ -234,7 +244,8 @@ def _joined(ids: np.ndarray, fps: list[int], sets: list[np.ndarray], blocks: np.
             k = root[k]
         return k
 
-    for k in np.argsort(blocks, kind="stable").tolist() if crossing else range(len(ids)):
+    order = np.argsort(blocks, kind="stable").tolist() if crossing else list(range(len(ids)))
+    for k in order:
         if not crossing or blocks[k] != blocks.min():
             for value in tree.near(fps[k], radius):
                 for other in of[value]:
@@ -246,6 +257,25 @@ def _joined(ids: np.ndarray, fps: list[int], sets: list[np.ndarray], blocks: np.
             if fps[k] not in of:
                 tree.add(fps[k])
             of.setdefault(fps[k], []).append(k)
+
+    tops = np.array([top(k) for k in range(len(ids))])
+    if (tops == tops[0]).all():
+        return links
+    lengths, counts = np.array([len(x) for x in sets]), _histograms(sets) if len(ids) > 8 else None
+    within = int((blocks == blocks.min()).sum())
+    for at, k in enumerate(order):
+        if crossing and at < within:
+            continue
+        others = np.array(order[: within if crossing else at], np.int64)
+        own = lengths[others]
+        others = others[(tops[others] != tops[k]) & (np.minimum(own, lengths[k]) >= similarity * np.maximum(own, lengths[k]))]
+        if counts is not None and len(others):
+            most = np.minimum(counts[others], counts[k]).sum(axis=1)
+            others = others[most >= similarity * (lengths[others] + lengths[k] - most)]
+        for other in others.tolist():
+            if tops[other] != tops[k] and similar(sets[k], sets[other], similarity):
+                tops[tops == tops[other]] = tops[k]
+                links.append((int(ids[k]), int(ids[other])))
     return links
 
 
@@ -253,8 +283,9 @@ def similar_links(chosen: DataFrame, sets: DataFrame, radius: int = WIDE_RADIUS,
     """Links (a, b) that connect similar texts among ``chosen`` (id, keys), whose ``sets`` are (id, fp, shingles).
 
     Texts of similarity 0.8 share a min-hash key with probability 0.9997 at five
-    keys. The texts of a key are searched by a BK-tree with a wide radius, and each
-    link is verified on the whole shingle sets. A key of more than ``block`` texts is
+    keys. The texts of a key are searched by a BK-tree with a wide radius, then pairs
+    beyond it that are still apart, and each link is verified on the whole shingle
+    sets; no similar texts of a key are missed. A key of more than ``block`` texts is
     cut into blocks, every two of which meet in a task of their own.
     """
     entries = chosen.select("id", F.posexplode("keys").alias("table", "key"))
@@ -308,9 +339,9 @@ def similar_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     marked = sketches(docs, id_col, text_col, words).withColumn("s1", F.xxhash64("shingles")).withColumn("s2", F.xxhash64(F.lit(7), "shingles"))
     own = save(marked, "sketches", scratch)
     named = own.filter("doc_id IS NOT NULL")
-    first = save(named.groupBy("fp", "s1", "s2").agg(F.min("doc_id").alias("id")), "first-sketches", scratch)
-    equal = named.select("fp", "s1", "s2", F.col("doc_id").alias("a")).join(first.select("fp", "s1", "s2", F.col("id").alias("b")), ["fp", "s1", "s2"]).select("a", "b")
-    chosen = named.select("fp", "s1", "s2", F.col("doc_id").alias("id"), "keys").join(first, ["fp", "s1", "s2", "id"], "left_semi")
+    first = save(named.groupBy("s1", "s2").agg(F.min("doc_id").alias("id")), "first-sketches", scratch)
+    equal = named.select("s1", "s2", F.col("doc_id").alias("a")).join(first.select("s1", "s2", F.col("id").alias("b")), ["s1", "s2"]).select("a", "b")
+    chosen = named.select("s1", "s2", F.col("doc_id").alias("id"), "keys").join(first, ["s1", "s2", "id"], "left_semi")
     sets = named.select(F.col("doc_id").alias("id"), "fp", "shingles")
     links = equal.unionByName(similar_links(chosen, sets, similarity=similarity, scratch=scratch)).unionByName(close.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")))
     joined = components(links)
