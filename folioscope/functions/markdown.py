@@ -161,11 +161,8 @@ def _plain(value):
 
 
 def _mapping(source: str) -> tuple[dict, str | None]:
-    try:
-        import yaml
-    except ImportError:
-        pairs = (line.partition(":") for line in source.split("\n") if ":" in line and line[:1].strip() and line[:1] not in "#-")
-        return {k.strip(): v.strip().strip("'\"") for k, _, v in pairs}, None
+    import yaml  # without it the rows have no true front matter, so its absence is an error
+
     try:
         value = yaml.safe_load(source)
     except (yaml.YAMLError, ValueError) as e:

@@ -2,6 +2,7 @@
 
 import json
 import random
+import sys
 
 import pytest
 
@@ -78,6 +79,13 @@ def test_frontmatter():
     assert front("---\non: 1\nx: .nan\n---\nb")[2] == {"True": 1, "x": None}
 
 
+def test_frontmatter_without_yaml_is_an_error(monkeypatch):
+    monkeypatch.setitem(sys.modules, "yaml", None)
+    assert front("no block") == ("", "no block", {}, False)
+    with pytest.raises(ImportError):
+        front("---\ntitle: T\nlist:\n- a\n---\nbody")
+
+
 def test_random_articles_keep_fences_and_clean_the_same_twice():
     r = random.Random(7)
     parts = ["text\n", "```\n<A />\n```\n", "<!-- c -->\n", "{x}\n", "<B>y</B>\n", "![i](j.png)\n", "import z\n", "\n\n\n\n"]
