@@ -1,15 +1,16 @@
-"""Suffix-array dedup of byte strings by prefix-free parsing.
+"""Suffix-array dedup of byte strings around content-defined triggers.
 
-Rolling-hash triggers (the anchors of ``anchors.py``) cut texts into phrases: the
+This takes the triggers from prefix-free parsing but builds no parse of phrase
+identifiers. Rolling-hash triggers (the anchors of ``anchors.py``) cut texts: the
 bytes before a trigger belong to the phrase that ends there, the bytes from it on
-to what follows. Only phrases around triggers that occur twice are kept; all
-others hold no repeated string. Within a shard of triggers two suffix arrays are
-built: one of the dictionary, over the reversed phrase ends, and one of the
-parse, over what follows the trigger, each with its longest common prefixes. A
-corpus suffix is a phrase suffix and a rank in the parse, so suffixes that agree
-on ``o`` bytes before the trigger and ``WINDOW - o`` from it on are those in one
-interval of each array; that is the corpus order to the depth of a window, and
-deeper order cannot change what is removed. Comparison is by bytes.
+to what follows. Only contexts of triggers that occur twice are kept; all others
+hold no repeated string. Within a shard of triggers two suffix arrays are built:
+one over the reversed bytes before each trigger, and one over the raw bytes from it
+on, up to a window, sorted as strings, each with its longest common prefixes.
+Suffixes that agree on ``o`` bytes before the trigger and ``WINDOW - o`` from it on
+are those in one interval of each array; that is the corpus order to the depth of a
+window, and deeper order cannot change what is removed. Hot triggers may be decided
+by grouping equal windows instead. Comparison is by bytes.
 
 Every byte that is covered by a ``WINDOW``-byte string which also starts anywhere
 else is removed. Texts are compared as UTF-8 and matches lie within one document.
