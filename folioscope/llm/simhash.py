@@ -15,16 +15,22 @@ The trees are not broadcast: a tree over all fingerprints has no size bound, and
 at 64 bits its search would visit a growing share of it. Sharding by agreeing
 blocks gives each tree only fingerprints that can matter.
 
+Fingerprints, not documents, are the nodes of the graph, so it does not matter how
+rows are named: the component of a row is that of its fingerprint, and its id is
+the smallest doc_id found in it.
+
 Defined cases: a null text has no words; documents without words get fingerprint
-zero, which links like any other. Rows that repeat a doc_id are separate members
-of the same class. Rows without doc_id get a fingerprint and the component of
-their fingerprint, but link no other fingerprints. An empty table gives an empty
-result. Columns other than the two named are ignored.
+zero, which links like any other. Rows that repeat a doc_id are documents of their
+own, in the components of their own texts. Rows without doc_id link like others and
+get the component's smallest doc_id, null if no row of it has one; they are kept only
+then. An empty table gives an empty result. Columns other than the two named are
+ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
@@ -32,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
-from .durable import clear, save, small_batches
+from .components import contracted
+from .durable import clear, drop, save, small_batches
 
 WORDS, RADIUS, SEED, KEPT = 3, 2, 42, 6
 
@@ -140,16 +146,16 @@ def masks(radius: int = RADIUS, kept: int = KEPT) -> list[int]:
 
 
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Links (a, b) between the ids of (fp, id) rows that connect all fingerprints within ``radius`` bits."""
+    """Links (a, b) between the distinct fingerprints of column ``fp`` that connect all within ``radius`` bits."""
     chosen = masks(radius)
-    shards = distinct.select("fp", "id", F.explode(F.array(*[F.struct(F.lit(k).cast("byte").alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for k, m in enumerate(chosen)])).alias("s"))
-    dealt = shards.select("s.choice", "s.bits", "fp", "id").repartition("choice", "bits").sortWithinPartitions("choice", "bits", "fp")
+    shards = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(k).cast("byte").alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for k, m in enumerate(chosen)])).alias("s"))
+    dealt = shards.select("s.choice", "s.bits", "fp").repartition("choice", "bits").sortWithinPartitions("choice", "bits", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
         for batch in _and_end(batches):
             if batch is not None:
-                own = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+                own = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
                 kept = own if kept is None else [np.concatenate(x) for x in zip(kept, own)]
             if kept is None or not len(kept[0]):
                 continue
@@ -162,10 +168,10 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
             several = np.flatnonzero(ends - starts > 1)
             a, b = [], []
             for s, e in zip(starts[several].tolist(), ends[several].tolist()):
-                ids = kept[3][s:e]
-                for i, j in forest(kept[2][s:e].view(np.uint64).tolist(), radius):
-                    a.append(int(ids[i]))
-                    b.append(int(ids[j]))
+                own = kept[2][s:e]
+                for i, j in forest(own.view(np.uint64).tolist(), radius):
+                    a.append(int(own[i]))
+                    b.append(int(own[j]))
             kept = [x[rest:] for x in kept]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -178,40 +184,59 @@ def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | Non
     yield None
 
 
+def fingerprint_roots(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, root) of the distinct fingerprints of ``distinct``; a root is some fingerprint of the component."""
+    roots, _ = contracted(links(distinct, radius))
+    return distinct.select("fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id, kept): one row per input row."""
+    scratch: list[DataFrame] = []
     own = save(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    distinct = save(own.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct-fingerprints")
-    joined = components(links(distinct.filter("id IS NOT NULL"), radius))
-    classes = save(distinct.join(joined, distinct["id"] == joined["node"], "left").select("fp", F.coalesce("component", "id").alias("component_id")), "fingerprint-classes")
+    distinct = save(own.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct-fingerprints", scratch)
+    rooted = save(distinct.join(fingerprint_roots(distinct, radius), "fp"), "rooted-fingerprints", scratch)
+    least = save(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "fingerprint-components", scratch)
+    classes = save(rooted.join(least, "root").select("fp", "component_id"), "fingerprint-classes")
+    clear(scratch)
     return own.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 # Similar texts: links by shingle similarity, which few differing bits alone do not find.
 
-SIMILARITY, SIMILAR_WORDS, WIDE_RADIUS, KEYS, BLOCK = 0.8, 5, 20, 5, 1024
+SIMILARITY, SIMILAR_WORDS, WIDE_RADIUS, KEYS, BLOCK, PIVOTS = 0.8, 5, 20, 5, 1024, 16
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, keys: int = KEYS) -> DataFrame:
-    """(doc_id, fp, keys, shingles): fingerprint of the distinct shingles, min-hash keys, and the sorted set of 32-bit shingle hashes."""
+    """What one reading of the texts gives, a row per input row.
+
+    doc_id, text_sha256, close (the fingerprint of ``near_dedup``), and of the set of
+    ``words``-word shingles: fp (its fingerprint), keys (min-hashes), digest, shingles
+    (sorted 32-bit hashes).
+    """
     small_batches(docs.sparkSession)
-    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("text_sha256"), text.alias("text"))
     seeds = np.random.default_rng(SEED).integers(0, 1 << 63, keys, dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, least, sets = [], [], []
-            for cell in batch.column(1):
-                parts = list(shingle_hashes(cell.as_py(), words))
+            close, fps, least, digests, sets = [], [], [], [], []
+            for cell in batch.column(2):
+                text = cell.as_py()
+                close.append(fingerprint(text))
+                parts = list(shingle_hashes(text, words))
                 own = np.unique(np.concatenate(parts)) if parts else np.array([], np.uint64)
                 fps.append(folded(own[a : a + 8192] for a in range(0, len(own), 8192)))
                 mixed = [(own ^ s) * np.uint64(0x9E3779B97F4A7C15) for s in seeds] if parts else []
                 least.append([int((m ^ (m >> np.uint64(32))).min().view(np.int64)) for m in mixed])
                 sets.append(np.unique(own.astype("<u4")).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(least, pa.list_(pa.int64())), pa.array(sets, pa.binary())], ["doc_id", "fp", "keys", "shingles"])
+                digests.append(blake2b(sets[-1], digest_size=16).digest())
+            signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (close, fps)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *signed, pa.array(least, pa.list_(pa.int64())), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], ["doc_id", "text_sha256", "close", "fp", "keys", "digest", "shingles"])
         pa.default_memory_pool().release_unused()
 
-    return chosen.mapInArrow(run, "doc_id long, fp long, keys array<long>, shingles binary")
+    return chosen.mapInArrow(run, "doc_id long, text_sha256 string, close long, fp long, keys array<long>, digest binary, shingles binary")
 
 
 def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
@@ -228,13 +253,16 @@ def _histograms(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([np.bincount(x & np.uint32(buckets - 1), minlength=buckets) for x in sets], np.int32)
 
 
-def _joined(ids: np.ndarray, fps: list[int], sets: list[np.ndarray], blocks: np.ndarray, radius: int, similarity: float) -> list[tuple[int, int]]:
+def _joined(ids: np.ndarray, fps: list[int], sets: list[np.ndarray], blocks: np.ndarray, radius: int, similarity: float, labels: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links between a task's texts that connect what similar ones connect; of two blocks, only across.
 
-    The tree finds most links soon. Pairs beyond the radius that are still apart are
-    then verified too, unless their sizes or histograms rule the similarity out.
+    Texts of one label are known to be connected. The tree finds most links soon.
+    Pairs beyond the radius that are still apart are then verified too, unless their
+    sizes or histograms rule the similarity out.
     """
-    root, tree, of = list(range(len(ids))), BKTree(), {}
+    tree, of = BKTree(), {}
+    first: dict[int, int] = {}
+    root = [first.setdefault(x, k) for k, x in enumerate((ids if labels is None else labels).tolist())]
     crossing = len(set(blocks.tolist())) > 1
     links = []
 
@@ -279,28 +307,15 @@ def _joined(ids: np.ndarray, fps: list[int], sets: list[np.ndarray], blocks: np.
     return links
 
 
-def similar_links(chosen: DataFrame, sets: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, block: int = BLOCK, *, scratch: list[DataFrame] | None = None) -> DataFrame:
-    """Links (a, b) that connect similar texts among ``chosen`` (id, keys), whose ``sets`` are (id, fp, shingles).
+_GROUP = ["table", "key", "b1", "b2"]
 
-    Texts of similarity 0.8 share a min-hash key with probability 0.9997 at five
-    keys. The texts of a key are searched by a BK-tree with a wide radius, then pairs
-    beyond it that are still apart, and each link is verified on the whole shingle
-    sets; no similar texts of a key are missed. A key of more than ``block`` texts is
-    cut into blocks, every two of which meet in a task of their own.
+
+def _verified(dealt: DataFrame, sets: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Links (a, b) within the groups of (table, key, b1, b2, own, label, id): all pairs, or across where ``own`` has two values.
+
+    Ids come with whole sets only here, once for each group that holds them.
     """
-    entries = chosen.select("id", F.posexplode("keys").alias("table", "key"))
-    sizes = save(entries.groupBy("table", "key").agg(F.count("*").alias("n")).filter("n > 1"), "key-sizes", scratch)
-    several = save(entries.join(sizes, ["table", "key"]), "shared-keys", scratch)
-    whole = several.join(sets, "id").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    keys = ["table", "key", "b1", "b2"]
-    dealt = (
-        whole.withColumn("own", own)
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("table", "key", F.least("own", "with").alias("b1"), F.greatest("own", "with").alias("b2"), "own", "id", "fp", "shingles")
-        .repartition(*keys)
-        .sortWithinPartitions(*keys)
-    )
+    whole = dealt.join(sets, "id").select(*_GROUP, "own", "label", "id", "fp", "shingles").repartition(*_GROUP).sortWithinPartitions(*_GROUP)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -319,34 +334,88 @@ def similar_links(chosen: DataFrame, sets: DataFrame, radius: int = WIDE_RADIUS,
             for s, e in zip(starts.tolist(), ends.tolist()):
                 if e - s > 1:
                     group = rest.slice(s, e - s)
-                    sets = [np.frombuffer(x, "<u4") for x in group.column("shingles").to_pylist()]
-                    fps = group.column("fp").to_numpy().view(np.uint64).tolist()
-                    found += _joined(group.column("id").to_numpy(), fps, sets, group.column("own").to_numpy(), radius, similarity)
+                    own, labels, ids, fps = (group.column(c).to_numpy() for c in ("own", "label", "id", "fp"))
+                    if (labels == labels[0]).all():
+                        continue
+                    found += _joined(ids, fps.view(np.uint64).tolist(), [np.frombuffer(x, "<u4") for x in group.column("shingles").to_pylist()], own, radius, similarity, labels)
             rest = rest.slice(int(ends[-1]) if len(ends) else 0)
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return whole.mapInArrow(run, "a long, b long")
+
+
+def similar_links(chosen: DataFrame, sets: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, block: int = BLOCK, *, scratch: list[DataFrame] | None = None) -> DataFrame:
+    """Links (a, b) that connect similar texts among ``chosen`` (id, keys), whose ``sets`` are (id, fp, shingles).
+
+    Texts of similarity 0.8 share a min-hash key with probability 0.9997 at five
+    keys. The texts of a key are searched by a BK-tree with a wide radius, then pairs
+    beyond it that are still apart, and each link is verified on the whole shingle
+    sets; no similar texts of a key are missed.
+
+    A key of more than ``block`` texts is dealt to blocks. Their texts are first
+    compared with ``PIVOTS`` of their own; the links so far are contracted, and what is
+    still apart from the key's largest component meets every block, two blocks to a
+    task. Near copies of one text are so linked in linear work, and nothing is dropped.
+    """
+    entries = chosen.select("id", F.posexplode("keys").alias("table", "key"))
+    sizes = save(entries.groupBy("table", "key").agg(F.count("*").alias("n")).filter("n > 1"), "key-sizes", scratch)
+    several = save(entries.join(sizes, ["table", "key"]), "shared-keys", scratch)
+    alone = several.filter(F.col("n") <= block).select("table", "key", F.lit(0).alias("b1"), F.lit(0).alias("b2"), F.lit(0).alias("own"), F.col("id").alias("label"), "id")
+    found = save(_verified(alone, sets, radius, similarity), "similar-links", scratch)
+    hot = several.filter(F.col("n") > block)
+    if hot.isEmpty():
+        return found
+
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    place = F.xxhash64("id", F.lit(1))
+    pivots = hot.groupBy("table", "key", "n", F.pmod(F.xxhash64("id"), F.lit(PIVOTS))).agg(F.min("id").alias("id"))
+    first = hot.select("table", "key", F.lit(-1).alias("b1"), F.pmod(place, blocks).cast("int").alias("b2"), F.lit(1).alias("own"), F.col("id").alias("label"), "id").unionByName(
+        pivots.select("table", "key", F.lit(-1).alias("b1"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("b2"), F.lit(0).alias("own"), F.col("id").alias("label"), "id")
+    )
+    found = found.unionByName(save(_verified(first, sets, radius, similarity), "pivot-links", scratch))
+
+    roots, _ = contracted(found)
+    scratch.append(roots) if scratch is not None else None
+    labelled = save(hot.join(roots.withColumnRenamed("node", "id"), "id", "left").select("table", "key", "id", F.coalesce("root", "id").alias("label")), "labelled", scratch)
+    per_label = labelled.groupBy("table", "key", "label").agg(F.count("*").alias("n"))
+    main = per_label.groupBy("table", "key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n")).filter("n > most")
+    apart = save(labelled.join(save(main, "main-components", scratch), ["table", "key"]), "apart", scratch)
+    few, many = F.ceil((F.col("n") - F.col("most")) / block).cast("int"), F.ceil(F.col("most") / block).cast("int")
+    outside = F.col("label") != F.col("main")
+    own = F.when(outside, F.pmod(place, few)).otherwise(few + F.pmod(place, many)).cast("int")
+    across = (
+        apart.withColumn("own", own)
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.when(outside, few + many).otherwise(few) - 1)))
+        .select("table", "key", F.least("own", "with").alias("b1"), F.greatest("own", "with").alias("b2"), "own", "label", "id")
+    )
+    return found.unionByName(save(_verified(across, sets, radius, similarity), "crossing-links", scratch))
 
 
 def similar_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, component_id, kept): texts linked by nearly equal fingerprints or by shingle similarity.
+    """(doc_id, text_sha256, component_id, kept): texts linked by nearly equal fingerprints or by shingle similarity.
 
-    The same defined cases as above; a block of two that are both of one text's
-    shingles never occurs, since texts of equal shingles are one.
+    One row per input row; text_sha256 tells the rows of a repeated doc_id apart. The
+    nodes are rows, one for each shingle set, so repeated or missing doc_ids merge
+    nothing. Rows without doc_id link like others and are always kept; the other
+    defined cases are those above.
     """
     scratch: list[DataFrame] = []
-    close = near_dedup(docs, id_col, text_col)
-    marked = sketches(docs, id_col, text_col, words).withColumn("s1", F.xxhash64("shingles")).withColumn("s2", F.xxhash64(F.lit(7), "shingles"))
-    own = save(marked, "sketches", scratch)
-    named = own.filter("doc_id IS NOT NULL")
-    first = save(named.groupBy("s1", "s2").agg(F.min("doc_id").alias("id")), "first-sketches", scratch)
-    equal = named.select("s1", "s2", F.col("doc_id").alias("a")).join(first.select("s1", "s2", F.col("id").alias("b")), ["s1", "s2"]).select("a", "b")
-    chosen = named.select("s1", "s2", F.col("doc_id").alias("id"), "keys").join(first, ["s1", "s2", "id"], "left_semi")
-    sets = named.select(F.col("doc_id").alias("id"), "fp", "shingles")
-    links = equal.unionByName(similar_links(chosen, sets, similarity=similarity, scratch=scratch)).unionByName(close.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")))
-    joined = components(links)
-    result = own.select("doc_id").join(joined, own["doc_id"] == joined["node"], "left").select("doc_id", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"))
-    result = save(result, "similar")
+    own = save(sketches(docs, id_col, text_col, words).withColumn("row", F.monotonically_increasing_id()), "sketches", scratch)
+    first = save(own.groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("id")), "first-sketches", scratch)
+    noded = save(own.select("doc_id", "text_sha256", "close", "digest").join(first, "digest"), "noded", scratch)
+    named = own.join(first.select(F.col("node").alias("row")), "row", "left_semi")
+    links = similar_links(named.select(F.col("row").alias("id"), "keys"), own.select(F.col("row").alias("id"), "fp", "shingles"), similarity=similarity, scratch=scratch)
+    pairs = save(noded.select("close", "node").distinct(), "close-pairs", scratch)
+    rooted = save(pairs.join(fingerprint_roots(pairs.select(F.col("close").alias("fp")).distinct()).withColumnRenamed("fp", "close"), "close"), "close-roots", scratch)
+    least = save(rooted.groupBy("root").agg(F.min("node").alias("b")), "close-components", scratch)
+    close = rooted.join(least, "root").select(F.col("node").alias("a"), "b")
+    roots, _ = contracted(links.unionByName(close))
+    classes = first.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "id")
+    classes = save(classes, "similar-classes", scratch)
+    named_classes = classes.join(classes.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("node", "component_id")
+    joined = noded.join(save(named_classes, "named-classes", scratch), "node")
+    result = save(joined.select("doc_id", "text_sha256", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "similar")
+    drop(roots)
     clear(scratch)
     return result
 
