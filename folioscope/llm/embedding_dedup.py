@@ -2,24 +2,32 @@
 
 Vectors that are equal within a label are first collapsed to one with a
 multiplicity. Each is hashed in several tables: a table's key is the signs of the
-vector's products with ``bits`` random planes. Vectors that share a label and a
-key in some table are candidates and are compared by exact cosine in double
-precision. The number of bits grows with the logarithm of the number of vectors,
-so buckets keep their size, and the number of tables follows from it: a pair at
-the threshold itself meets in some table with probability ``RECALL`` or more,
-closer pairs with a higher one.
+vector's products with ``bits`` random planes. The number of bits grows with the
+logarithm of the number of vectors, so buckets keep their size, and the number of
+tables follows from it: a pair at the threshold itself meets in some table with
+probability ``RECALL`` or more, closer pairs with a higher one.
+
+What travels to the buckets is not the vector but its sketch, the signs of
+``SKETCH`` further planes in 32 bytes. Vectors that share a label and a key in some
+table are compared by sketch; those with a partner within ``FAR`` differing signs
+(which a pair at the threshold exceeds with a probability of 0.00002) are candidates
+in their bucket. Only candidates then bring their vectors there, once for each
+bucket, and are compared by exact cosine in double precision.
 
 A bucket of any size is compared whole: above ``BLOCK`` vectors it is cut into
 blocks, and every two blocks meet in a task of their own. A pair that meets in
 several tables is counted in the first. No pair leaves its task: a task returns
 for each vector how many links it has there and one vector that it hangs
-together with, and connected components join those.
+together with, and connected components join those. The nodes are the distinct
+vectors, numbered here, so it does not matter how rows are named.
 
 Defined cases: vectors that are null, empty, zero or have null or non-finite
 components, or whose label is null, link with nothing and are their own
 component. Vectors of different lengths do not link. Rows that repeat a vec_id
-count as vectors of their own. An empty table gives an empty result. Columns
-other than the three named are ignored.
+are vectors of their own, each with its own links and component. Rows without
+vec_id link and are counted like others; their component_id is the smallest vec_id
+they reach, null if there is none, and they are kept only then. An empty table gives
+an empty result. Columns other than the three named are ignored.
 """
 
 from __future__ import annotations
@@ -33,11 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
-from .durable import save, small_batches
+from .components import contracted
+from .durable import clear, save, small_batches
 from .simhash import _and_end
 
 THRESHOLD, RECALL, BLOCK, SEED = 0.93, 0.98, 1024, 20240229
+SKETCH, DEVIATIONS = 256, 4.1
 
 
 def shape(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[int, int]:
@@ -47,8 +56,22 @@ def shape(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple
     return bits, math.ceil(math.log(1 - recall) / math.log1p(-meet))
 
 
-def planes(dim: int, bits: int, tables: int) -> np.ndarray:
-    return np.random.default_rng([SEED, dim]).standard_normal((dim, bits * tables))
+def far(threshold: float = THRESHOLD) -> int:
+    """How many of the sketch's signs a pair at the threshold may differ in, but for chance."""
+    apart = math.acos(threshold) / math.pi
+    return math.ceil(SKETCH * apart + DEVIATIONS * math.sqrt(SKETCH * apart * (1 - apart)))
+
+
+def planes(dim: int, count: int, seed: int = 0) -> np.ndarray:
+    return np.random.default_rng([SEED, dim, seed]).standard_normal((dim, count))
+
+
+def _signs(vectors: np.ndarray, bits: int, tables: int, made: dict[int, np.ndarray]) -> np.ndarray:
+    """Each table's key of each vector."""
+    dim = vectors.shape[1]
+    if dim not in made:
+        made[dim] = planes(dim, bits * tables)
+    return ((vectors @ made[dim]).reshape(len(vectors), tables, bits) > 0) @ (1 << np.arange(bits, dtype=np.int64))
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray | None]:
@@ -74,38 +97,83 @@ def _keyed(rows: DataFrame) -> DataFrame:
 
 
 def _signed(classes: DataFrame, bits: int, tables: int) -> DataFrame:
-    """Adds ``dim`` and ``signs``: each table's key."""
+    """Adds ``dim``, ``signs`` (each table's key) and ``sketch``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict[int, np.ndarray] = {}
-        powers = 1 << np.arange(bits, dtype=np.int64)
+        others: dict[int, np.ndarray] = {}
         for batch in batches:
             own = _vectors(batch.column(batch.schema.get_field_index("embedding")))
-            signs = []
-            for v in own:
-                if len(v) not in made:
-                    made[len(v)] = planes(len(v), bits, tables)
-                signs.append(((v @ made[len(v)]).reshape(tables, bits) > 0) @ powers)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([len(v) for v in own], pa.int32()), pa.array(signs, pa.list_(pa.int32()))], [*batch.schema.names, "dim", "signs"])
+            signs, sketches = [None] * len(own), [None] * len(own)
+            lengths = np.array([len(v) for v in own])
+            for dim in np.unique(lengths).tolist():
+                at = np.flatnonzero(lengths == dim)
+                vectors = np.stack([own[k] for k in at])
+                if dim not in others:
+                    others[dim] = planes(dim, SKETCH, 1)
+                packed = np.packbits(vectors @ others[dim] > 0, axis=1)
+                for k, g, p in zip(at.tolist(), _signs(vectors, bits, tables, made), packed):
+                    signs[k], sketches[k] = g, p.tobytes()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lengths, pa.int32()), pa.array(signs, pa.list_(pa.int32())), pa.array(sketches, pa.binary())], [*batch.schema.names, "dim", "signs", "sketch"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema)
-    return classes.mapInArrow(run, f"{fields}, dim int, signs array<int>")
+    return classes.mapInArrow(run, f"{fields}, dim int, signs array<int>, sketch binary")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Sorted rows as (table, starts, ends, key columns) of whole groups of two rows or more."""
+    rest: pa.Table | None = None
+    for batch in _and_end(batches):
+        if batch is not None:
+            fresh = pa.Table.from_batches([batch])
+            rest = fresh if rest is None else pa.concat_tables([rest, fresh])
+        if rest is None or not rest.num_rows:
+            continue
+        key = [rest.column(k).to_numpy() for k in range(keys)]
+        starts = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in key], axis=0)])
+        ends = np.r_[starts[1:], rest.num_rows]
+        if batch is not None:
+            starts, ends = starts[:-1], ends[:-1]
+        done = int(ends[-1]) if len(ends) else 0
+        several = ends - starts > 1
+        if several.any():
+            yield rest.slice(0, done).combine_chunks(), starts[several], ends[several], key
+        rest = rest.slice(done)
+
+
+def _near(sketches: np.ndarray, own: np.ndarray, crossing: bool, most: int) -> np.ndarray:
+    """Which sketches (rows of 64-bit words) have a partner within ``most`` signs; of two blocks, in the other."""
+    found = np.zeros(len(sketches), bool)
+    for at in range(0, len(sketches), 128):
+        rows = sketches[at : at + 128]
+        differ = np.zeros((len(rows), len(sketches)), np.uint16)
+        for word in range(sketches.shape[1]):
+            differ += np.bitwise_count(rows[:, word, None] ^ sketches[None, :, word])
+        close = differ <= most
+        close[np.arange(len(rows)), np.arange(at, at + len(rows))] = False
+        if crossing:
+            close &= own[at : at + 128, None] != own[None, :]
+        found[at : at + 128] = close.any(axis=1)
+    return found
 
 
-def _compare(ids, weights, table, signs, vectors, own_block, pair, threshold):
+def _compare(ids, weights, table, vectors, own_block, crossing, threshold, signs):
     """(ids, roots, links) of the vectors of one pair of blocks that link there."""
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     links, roots = np.zeros(len(ids), np.int64), np.arange(len(ids))
     close = unit @ unit.T >= threshold
     np.fill_diagonal(close, False)
-    if pair[0] != pair[1]:
+    if crossing:
         close &= own_block[:, None] != own_block[None, :]
+    linked = close.any(axis=1)
+    if not linked.any():
+        return ids[linked], ids[linked], links[linked]
+    keys = signs(vectors) if table else None
     for at in range(0, len(ids), 64):
         i, j = np.nonzero(close[at : at + 64])
         i = i + at
-        first = ~(signs[i, :table] == signs[j, :table]).any(axis=1) if table else np.ones(len(i), bool)
+        first = ~(keys[i, :table] == keys[j, :table]).any(axis=1) if table else np.ones(len(i), bool)
         np.add.at(links, i[first], weights[j[first]])
-    linked = close.any(axis=1)
     while True:
         lowest = np.where(close, roots[None, :], len(ids)).min(axis=1)
         after = np.minimum(roots, lowest)
@@ -116,79 +184,80 @@ def _compare(ids, weights, table, signs, vectors, own_block, pair, threshold):
     return ids[linked], ids[roots[linked]], links[linked]
 
 
-def near_links(signed: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+_KEYS = ["label", "dim", "table", "key", "b1", "b2"]
+
+
+def near_links(signed: DataFrame, bits: int, tables: int, threshold: float = THRESHOLD, block: int = BLOCK, *, scratch: list[DataFrame] | None = None) -> DataFrame:
     """(id, root, links): per task what each vector links with; sums and components make the whole."""
-    entries = signed.select("label", "dim", F.posexplode("signs").alias("table", "key"), "id", "weight", "signs", "embedding")
-    sizes = save(entries.groupBy("label", "dim", "table", "key").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes")
-    several = entries.join(sizes, ["label", "dim", "table", "key"])
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    entries = signed.select("label", "dim", F.posexplode("signs").alias("table", "key"), "id")
+    sizes = save(entries.groupBy("label", "dim", "table", "key").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes", scratch)
+    sketched = signed.select("label", "dim", F.posexplode("signs").alias("table", "key"), "id", "sketch")
+    several = sketched.join(sizes, ["label", "dim", "table", "key"])
     dealt = (
-        several.withColumn("blocks", blocks)
-        .withColumn("own", own)
+        several.withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("label", "dim", "table", "key", F.least("own", "with").alias("b1"), F.greatest("own", "with").alias("b2"), "own", "id", "weight", "signs", "embedding")
+        .select("label", "dim", "table", "key", F.least("own", "with").alias("b1"), F.greatest("own", "with").alias("b2"), "own", "id", "sketch")
     )
-    keys = ["label", "dim", "table", "key", "b1", "b2"]
-    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    dealt = dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS)
+    most = far(threshold)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts, ends, key in _groups(batches, len(_KEYS)):
+            own = table.column("own").to_numpy()
+            words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u8").reshape(len(own), -1)
+            found = np.zeros(len(own), bool)
+            for s, e in zip(starts.tolist(), ends.tolist()):
+                found[s:e] = _near(words[s:e], own[s:e], key[4][s] != key[5][s], most)
+            yield from table.drop_columns(["sketch"]).filter(pa.array(found)).to_batches()
+
+    types = {f.name: f.dataType.simpleString() for f in dealt.schema}
+    candidates = dealt.mapInArrow(chosen, ", ".join(f"{c} {types[c]}" for c in (*_KEYS, "own", "id")))
+    candidates = save(candidates, "candidates", scratch)
+    whole = candidates.join(signed.select("id", "weight", "embedding"), "id").select(*_KEYS, "own", "id", "weight", "embedding").repartition(*_KEYS).sortWithinPartitions(*_KEYS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in _and_end(batches):
-            if batch is not None:
-                fresh = pa.Table.from_batches([batch])
-                rest = fresh if rest is None else pa.concat_tables([rest, fresh])
-            if rest is None or not rest.num_rows:
-                continue
-            key = [rest.column(k).to_numpy() for k in range(len(keys))]
-            starts = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in key], axis=0)])
-            ends = np.r_[starts[1:], rest.num_rows]
-            if batch is not None:
-                starts, ends = starts[:-1], ends[:-1]
-            done = int(ends[-1]) if len(ends) else 0
+        made: dict[int, np.ndarray] = {}
+        for table, starts, ends, key in _groups(batches, len(_KEYS)):
+            own, ids, weights = (table.column(c).to_numpy() for c in ("own", "id", "weight"))
+            vectors = table.column("embedding").combine_chunks()
             out: list[list] = [[], [], []]
-            several = np.flatnonzero(ends - starts > 1)
-            if len(several):
-                table = rest.slice(0, done).combine_chunks()
-                own, ids, weights = (table.column(c).to_numpy() for c in ("own", "id", "weight"))
-                signs, vectors = (table.column(c).combine_chunks() for c in ("signs", "embedding"))
-                for s, e in zip(starts[several].tolist(), ends[several].tolist()):
-                    v = vectors.slice(s, e - s).flatten().to_numpy().astype(np.float64).reshape(e - s, -1)
-                    g = signs.slice(s, e - s).flatten().to_numpy().reshape(e - s, -1)
-                    found = _compare(ids[s:e], weights[s:e], int(key[2][s]), g, v, own[s:e], (key[4][s], key[5][s]), threshold)
-                    for x, y in zip(out, found):
-                        x.append(y)
-            rest = rest.slice(done)
-            columns = [pa.array(np.concatenate(x) if x else np.array([], np.int64), pa.int64()) for x in out]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "root", "links"])
-
-    return dealt.mapInArrow(run, "id long, root long, links long")
+            for s, e in zip(starts.tolist(), ends.tolist()):
+                v = vectors.slice(s, e - s).flatten().to_numpy().astype(np.float64).reshape(e - s, -1)
+                found = _compare(ids[s:e], weights[s:e], int(key[2][s]), v, own[s:e], key[4][s] != key[5][s], threshold, lambda x: _signs(x, bits, tables, made))
+                for x, y in zip(out, found):
+                    x.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], ["id", "root", "links"])
+
+    return whole.mapInArrow(run, "id long, root long, links long")
 
 
 def near_dedup(vectors: DataFrame, id_col: str = "vec_id", label_col: str = "label", vector_col: str = "embedding", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per input row."""
     small_batches(vectors.sparkSession)
+    scratch: list[DataFrame] = []
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).alias("embedding"))
     keyed = save(_keyed(rows), "keyed")
-    usable = keyed.filter("digest IS NOT NULL AND vec_id IS NOT NULL")
-    classes = usable.groupBy("label", "digest").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.first("embedding").alias("embedding"))
+    usable = keyed.filter("digest IS NOT NULL")
+    classes = usable.groupBy("label", "digest").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"), F.first("embedding").alias("embedding"))
     bits, tables = shape(usable.count(), threshold, recall)
-    signed = save(_signed(classes, bits, tables), "signed")
-    found = save(near_links(signed.drop("digest"), threshold), "near-links")
-    joined = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    signed = save(_signed(classes, bits, tables).withColumn("id", F.monotonically_increasing_id()), "signed", scratch)
+    found = save(near_links(signed, bits, tables, threshold, scratch=scratch), "near-links", scratch)
+    roots, _ = contracted(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    scratch.append(roots)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     whole = (
-        signed.select("label", "digest", "id", "weight")
+        signed.select("label", "digest", "id", "least", "weight")
         .join(links, "id", "left")
-        .join(joined, F.col("id") == joined["node"], "left")
-        .select("label", "digest", F.coalesce("component", "id").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).cast("long").alias("n_links"))
+        .join(roots.withColumnRenamed("node", "id"), "id", "left")
+        .select("label", "digest", "least", F.coalesce("root", "id").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).cast("long").alias("n_links"))
     )
-    whole = save(whole, "vector-classes")
-    return keyed.select("vec_id", "label", "digest").join(whole, ["label", "digest"], "left").select(
-        "vec_id",
-        F.when(F.col("vec_id").isNull(), F.lit(0)).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
-        F.when(F.col("vec_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "vec_id")).alias("component_id"),
-        F.when(F.col("vec_id").isNull(), F.lit(True)).otherwise(F.col("vec_id") == F.coalesce("component_id", "vec_id")).alias("kept"),
+    whole = save(whole, "vector-classes", scratch)
+    named = save(whole.join(whole.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("label", "digest", "component_id", "n_links"), "named-vectors")
+    clear(scratch)
+    component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    return keyed.select("vec_id", "label", "digest").join(named, ["label", "digest"], "left").select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept")
     )
 
 

@@ -127,13 +127,26 @@ def test_simhash_links_lose_nothing(spark):
         values.add(v ^ 1 << r.randrange(64) ^ 1 << r.randrange(64))
     values |= {k for k in range(200)} | {1 << 63, (1 << 63) | 1}
     values = sorted(values)
-    df = spark.createDataFrame([(v - (v >> 63 << 64), k) for k, v in enumerate(values)], "fp long, id long")
+    signed = [v - (v >> 63 << 64) for v in values]
+    df = spark.createDataFrame([(v, 1) for v in signed], "fp long, id long")
     made = components.components(simhash.links(df)).collect()
-    comp = union([(a, b) for a in range(len(values)) for b in range(a) if (values[a] ^ values[b]).bit_count() <= 2], range(len(values)))
+    comp = union([(a, b) for a in signed for b in signed if a > b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2], signed)
     linked = {n for n in comp if any(m != n and comp[m] == comp[n] for m in comp)}
     assert {x["node"]: x["component"] for x in made} == {n: comp[n] for n in linked}
 
 
+def test_simhash_of_missing_and_repeated_ids(spark, monkeypatch):
+    own = [(1, 0), (None, 3), (2, 15), (7, 31 << 40), (7, 255 << 20), (9, 63 << 40), (4, 255 << 20 | 1), (None, 1023 << 50)]
+    rows = spark.createDataFrame(own, "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: rows)
+    found = {(x["doc_id"], int(x["fingerprint"], 16)): (x["component_id"], x["kept"]) for x in simhash.near_dedup(rows).collect()}
+    assert found == {
+        (1, 0): (1, True), (None, 3): (1, False), (2, 15): (1, False),
+        (7, 31 << 40): (7, True), (9, 63 << 40): (7, False),
+        (7, 255 << 20): (4, False), (4, 255 << 20 | 1): (4, True), (None, 1023 << 50): (None, True),
+    }
+
+
 def test_bk_tree_finds_all_within_radius():
     r = random.Random(2)
     values = {r.getrandbits(12) for _ in range(500)}
@@ -155,6 +168,15 @@ def test_components_of_paths_stars_and_rings(spark):
     assert {x["node"]: x["component"] for x in found} == comp
 
 
+def test_components_take_logarithmic_rounds(spark):
+    path = spark.range(10_000).selectExpr("id AS a", "id + 1 AS b")
+    roots, rounds = components.contracted(path)
+    assert rounds <= 20 and roots.count() == 10_001 and roots.select("root").distinct().count() == 1
+    star = spark.range(1, 5000).selectExpr("0L AS a", "id AS b")
+    roots, rounds = components.contracted(star)
+    assert rounds <= 3 and roots.select("root").distinct().count() == 1
+
+
 def cluster_rows(seed, n=400, dim=16):
     g = np.random.default_rng(seed)
     centres = g.standard_normal((20, dim))
@@ -202,6 +224,26 @@ def test_embedding_links_are_true_and_nearly_all_found(spark, block, monkeypatch
     assert embedding_dedup.near_dedup(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_missing_and_repeated_ids(spark):
+    rows = [(7, [1.0, 0.0]), (7, [0.0, 1.0]), (8, [0.0, 1.0]), (5, [1.0, 0.01]), (None, [1.0, 0.02]), (6, [1.0, 0.03]), (None, [-1.0, 0.0]), (None, None), (3, None)]
+    df = spark.createDataFrame([(k, v, 1) for k, v in rows], "vec_id long, embedding array<float>, label int")
+    found = sorted((map(tuple, embedding_dedup.near_dedup(df).collect())), key=str)
+    assert found == sorted([(7, 3, 5, False), (7, 1, 7, True), (8, 1, 7, False), (5, 3, 5, True), (None, 3, 5, False), (6, 3, 5, False), (None, 0, None, True), (None, 0, None, True), (3, 0, 3, True)], key=str)
+
+
+def test_sketches_lose_few_pairs_at_the_threshold():
+    g = np.random.default_rng(3)
+    a, b = g.standard_normal((2, 4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    c = embedding_dedup.THRESHOLD * a + np.sqrt(1 - embedding_dedup.THRESHOLD**2) * b
+    p = embedding_dedup.planes(64, embedding_dedup.SKETCH, 1)
+    differ = ((a @ p > 0) != (c @ p > 0)).sum(axis=1)
+    assert (differ > embedding_dedup.far()).sum() <= 2
+    assert (((a @ p > 0) != (np.roll(a, 1, axis=0) @ p > 0)).sum(axis=1) <= embedding_dedup.far()).mean() < 0.01
+
+
 @pytest.mark.parametrize("block", [1024, 7])
 def test_similar_texts_are_joined(spark, block, monkeypatch):
     monkeypatch.setattr(simhash.similar_links, "__defaults__", (simhash.WIDE_RADIUS, simhash.SIMILARITY, block))
