@@ -132,22 +132,49 @@ def test_licence_rules(spark):
 
 
 def test_each_licence_sentence_names_its_own_licence(spark):
-    rows = {"\n".join(licences.SENTENCES[k] for k in keys): [licence] for licence, keys in licences.RULES}
-    full = "\n\n".join(licences.SENTENCES[k] for k in ("bsd.grant", "bsd.endorse", "bsd.warranty"))
-    rows |= {full: ["BSD-2-Clause", "BSD-3-Clause"]}
-    rows["\n".join(licences.SENTENCES[k] for k in ("bsd.grant", "bsd.endorse", "bsd.warranty"))] = ["BSD-2-Clause", "BSD-3-Clause"]
+    rows = {"\n".join(licences.SENTENCES[k] for k in keys): [licence] for licence, keys, _ in licences.RULES}
+    rows |= {"\n\n".join(licences.SENTENCES[k] for k in keys): [licence] for licence, keys, _ in licences.RULES}
+    rows |= {sentence: [licence] for sentence, licence in licences.notices().items()}
     rows |= {
-        "SPDX-License-Identifier: LGPL-2.1-only": [],
-        "SPDX-License-Identifier: LGPL-2.1-only\nA word about a license:\nMIT": [],
+        "SPDX-License-Identifier: WTFPL": [],
+        "SPDX-License-Identifier: Some\nA word about a license:\nMIT": [],
         "// SPDX-License-Identifier: MPL-2.0\r\nint x;": ["MPL-2.0"],
         "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: Apache-2.0": ["Apache-2.0", "MIT"],
+        "/* SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0) */": ["GPL-2.0"],
+        "# SPDX-License-Identifier: LGPL-2.1-or-later OR MIT": ["LGPL-2.1", "MIT"],
+        "SPDX-License-Identifier: MIT AND WTFPL": ["MIT"],
         "SPDX-License-Identifier:": [],
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.": [],
         "// subject to\n// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy": [],
         "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy": ["MPL-2.0"],
-        "Foo is free software: " + licences.SENTENCES["gpl3.grant"].split(": ")[1] + "\n" + licences.SENTENCES["gpl3.warranty"]: ["GPL-3.0"],
+        "3. " + "\n".join(licences.SENTENCES[k] for k in ("bsd.grant", "bsd.endorse", "bsd.warranty")): ["BSD-3-Clause"],
+        licences.SENTENCES["bsd.grant"] + "\n3. " + licences.SENTENCES["bsd.endorse"] + "\n\n" + licences.SENTENCES["bsd.warranty"]: ["BSD-3-Clause"],
     }
     texts = list(rows)
-    found = {x["doc_id"]: x for x in licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x["doc_id"]: x for x in licences.scan(docs).collect()}
     assert {t: found[k]["licences"] for k, t in enumerate(texts)} == rows
-    assert found[texts.index("SPDX-License-Identifier: MIT")]["sentence_ids"] == ["spdx.mit.0"]
+    assert found[texts.index("SPDX-License-Identifier: MIT")]["sentence_ids"] == ["notice.MIT"]
+    known, alone, _ = licences.tables()
+    assert all(any(c in f or c == "cc-by" for c in licences.CUES) for f in known)
+    assert len({licences.normal_form(s) for s in licences.notices()}) == len({(licences.normal_form(s), x) for s, x in licences.notices().items()})
+
+    import duckdb
+
+    documents = docs.toPandas()
+    own = {d: (x.split(",") if x else [], n, i) for d, x, n, i in duckdb.sql(licences.ORACLE).fetchall()}
+    assert len(documents) == len(own)
+    assert own == {k: (x["licences"], x["n_sentences"], " ".join(x["sentence_ids"])) for k, x in found.items()}
+
+
+def test_licences_of_long_repeated_and_no_rows(spark):
+    import time
+
+    many = "\n".join(licences.SENTENCES[k] for k in ("bsd.grant", "mit.notice", "isc.grant", "mit.warranty")) + "\n"
+    rows = [(1, many * 5000), (2, "Released under the MIT License."), (2, "Released under the MIT License."), (None, "Released under the ISC License.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    began = time.time()
+    found = [(x["doc_id"], x["licences"], x["n_sentences"]) for x in licences.scan(docs).collect()]
+    assert time.time() - began < 20
+    assert sorted(found, key=str) == sorted([(1, ["ISC"], 20000), (2, ["MIT"], 1), (2, ["MIT"], 1), (None, ["ISC"], 1)], key=str)
+    assert licences.scan(docs.limit(0)).count() == 0
