@@ -7,7 +7,9 @@ anchors, so a text has about two anchors per window length, and equal windows
 have equal anchors wherever they stand. The steps, all keyed and all reading
 written tables:
 
-1. Equal texts are collapsed to the one with the smallest id and a count.
+1. Equal texts are collapsed to the smallest id and a count. Texts, and below
+   contexts, are told apart by two 64-bit hashes with different seeds, 128 bits that
+   are not verified further.
 2. Anchors are counted over distinct texts. Those that occur once are dropped: no
    window over them is repeated.
 3. For each other anchor its *context* is cut out: the windows it anchors.
@@ -16,8 +18,9 @@ written tables:
    anchors at a time. An anchor with more than ``HOT`` distinct contexts would
    make a hot shard. Its contexts are cut into parts of fewer windows, keyed by
    the units that all windows of a part share, and steps 3 and 4 are repeated for
-   the parts, with ever fewer windows a part. At one window a part the key is the
-   window itself, so no key has more than one context.
+   the parts, with ever fewer windows a part. At one window a part the key is a hash
+   of the window itself, so a key has one context; should hashes clash, all of its
+   contexts are compared.
 5. Repeated starts go back to the members of their classes and to their texts.
 
 No group is gathered beyond ``HOT`` contexts or one text, and hot keys occur only
@@ -180,7 +183,11 @@ def _contexts(texts: DataFrame, units: Units) -> DataFrame:
     names = _MEMBER_NAMES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
+            keys = list(zip(*(batch.column(k).to_pylist() for k in (1, 2, 5))))
+            new = [copies == 1 or (t1, t2) not in seen and not seen.add((t1, t2)) for t1, t2, copies in keys]  # rows may repeat
+            batch = batch.filter(pa.array(new))
             values, ends, raw = units.values(_batches(batch.column(3)))
             shared = np.unique(batch.column(4).flatten().to_numpy(zero_copy_only=False)).view(np.uint64)
             begins = np.r_[0, ends[:-1]]
@@ -268,8 +275,8 @@ def _resolved(members: DataFrame, units: Units, compare: Compare, earlier: bool,
     classes = save(classes, "context-classes", scratch)
     sizes = save(classes.groupBy("anchor").agg(F.count("*").alias("distinct")).filter("distinct > 1"), "anchor-sizes", scratch)
     sized = save(classes.join(sizes, "anchor"), "sized-classes", scratch)
-    spans = _compared(sized.filter(F.col("distinct") <= hot), compare, limit)
-    large = sized.filter(F.col("distinct") > hot)
+    large = sized.filter((F.col("distinct") > hot) & F.lit(level < len(units.parts)))
+    spans = _compared(sized.filter((F.col("distinct") <= hot) | F.lit(level == len(units.parts))), compare, limit)
     if level < len(units.parts) and not large.isEmpty():
         parts = _resolved(_split(large, units, units.parts[level]), units, compare, earlier, limit, hot, scratch, level + 1)
         spans = spans.unionByName(parts.select(F.col("p1").alias("c1"), F.col("p2").alias("c2"), "spans"))
@@ -280,9 +287,9 @@ def _resolved(members: DataFrame, units: Units, compare: Compare, earlier: bool,
     whole = F.array(F.struct(F.col("first").cast("int").alias("a"), F.col("last").cast("int").alias("b")))
     shifted = F.transform(F.coalesce("spans", F.array().cast("array<struct<a:int,b:int>>")), lambda s: F.struct((s["a"] + F.col("first")).cast("int").alias("a"), (s["b"] + F.col("first")).cast("int").alias("b")))
     ranges = F.when(F.col("doc_id") > F.col("least") if earlier else F.col("n") > 1, whole).otherwise(shifted)
-    # At most the windows of one text or class come together here.
+    # At most the windows of one text or class come together here: a row that was read in several tasks counts once.
     found = joined.select("p1", "p2", ranges.alias("own")).filter(F.size("own") > 0)
-    return found.groupBy("p1", "p2").agg(F.flatten(F.collect_list("own")).alias("spans"))
+    return found.groupBy("p1", "p2").agg(F.flatten(F.collect_set("own")).alias("spans"))
 
 
 def hashes(text: Column) -> list[Column]:
@@ -299,14 +306,15 @@ def repeated(docs: DataFrame, units: Units, compare: Compare, earlier: bool, lim
     scratch: list[DataFrame] = []
     texts = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), *hashes(F.col("text")), "text")
     anchored = save(_anchored(texts, units), "anchored", scratch)
-    whole = save(anchored.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "texts", scratch)
-    own = save(anchored.join(whole.drop("copies"), ["t1", "t2", "doc_id"]).select("t1", "t2", "doc_id", F.explode("anchors").alias("anchor")), "own-anchors", scratch)
+    # Equal texts have equal anchors, so any row's will do.
+    whole = save(anchored.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("anchors").alias("anchors")), "texts", scratch)
+    own = whole.select("t1", "t2", "doc_id", "copies", F.explode("anchors").alias("anchor"))
     shared = save(own.groupBy("anchor").count().filter("count > 1").select("anchor"), "shared-anchors", scratch)
-    per_text = own.join(shared, "anchor").groupBy("t1", "t2", "doc_id").agg(F.collect_set("anchor").alias("anchors"))  # at most a text's own
-    chosen = texts.join(save(per_text, "anchors-per-text", scratch), ["t1", "t2", "doc_id"]).select("doc_id", "t1", "t2", "text", "anchors")
+    per_text = own.join(shared, "anchor").groupBy("t1", "t2", "doc_id", "copies").agg(F.collect_set("anchor").alias("anchors"))  # a text's own
+    chosen = texts.join(save(per_text, "anchors-per-text", scratch), ["t1", "t2", "doc_id"]).select("doc_id", "t1", "t2", "text", "anchors", "copies")
     found = _resolved(_contexts(chosen, units), units, compare, earlier, limit, hot, scratch)
     per_text = found.select(F.col("p1").alias("t1"), F.col("p2").alias("t2"), "spans")
-    info = whole.join(save(per_text, "text-spans", scratch), ["t1", "t2"], "left").filter("copies > 1 OR spans IS NOT NULL")
+    info = whole.drop("anchors").join(save(per_text, "text-spans", scratch), ["t1", "t2"], "left").filter("copies > 1 OR spans IS NOT NULL")
     repeats = save(info.withColumnRenamed("doc_id", "first_id"), "repeats")
     clear(scratch)
     return repeats
