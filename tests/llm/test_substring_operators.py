@@ -89,6 +89,38 @@ def test_word_dedup_equals_brute_force(spark, seed, hot):
     assert got == order((k, *x) for (k, _), x in zip(rows, brute_words(rows, 50)))
 
 
+@pytest.mark.parametrize(("trigger", "modulus"), [(1, 1), (2, 3), (4, 5), (6, 1 << 40)])
+def test_prefix_free_parse_gives_corpus_order_and_repeats(trigger, modulus):
+    g = np.random.default_rng(trigger)
+    base = bytes(g.integers(0, 3, 400).astype(np.uint8))
+    strings = [base[a : a + k] for a, k in zip(g.integers(0, 380, 60), g.integers(0, 60, 60))] + [b"", bytes(90), base[5:40] * 2]
+    parse = suffix_dedup.Parse(strings, trigger, modulus)
+    suffixes = [s[k:] for s in strings for k in range(len(s) + 1)]
+    ordered = [suffixes[k] for k in parse.order() if parse.left[parse.place[k]] > trigger or suffixes[k] == b""]
+    assert [x for x in ordered if len(x) >= trigger] == sorted(x for x in suffixes if len(x) >= trigger)
+    for window in (trigger + 1, 10, 25):
+        count = Counter(x[:window] for x in suffixes if len(x) >= window)
+        assert parse.repeated(window).tolist() == [len(x) >= window and count[x[:window]] > 1 for x in suffixes]
+
+
+def test_rows_without_id_that_repeat_a_text_stay_linear(spark, monkeypatch):
+    made = []
+    plain = anchors._contexts
+    monkeypatch.setattr(anchors, "_contexts", lambda *a: made.append(plain(*a).count()) or plain(*a))
+    text = "".join(chr(97 + x) for x in np.random.default_rng(5).integers(0, 26, 3000))
+    sizes = []
+    for n in (40, 160):
+        rows = [(None, text)] * n + [(7, text[500:1500])] * n + [(8, "x" + text[600:1400])]
+        found = suffix_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+        assert [(x["n_bytes"], x["n_removed"]) for x in found if x["doc_id"] == 8] == [(801, 800)]
+        assert all(x["n_removed"] == x["n_bytes"] for x in found if x["doc_id"] != 8)
+        sizes.append(made[-1])
+    assert sizes[1] <= 2 * sizes[0]
+    rows = [(None, " ".join(text[k : k + 3] for k in range(0, 600, 3)))] * 50 + [(9, " ".join(text[k : k + 3] for k in range(30, 600, 3)))]
+    found = fm_dedup.word_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(x["doc_id"], x["n_words"], x["n_removed"]) for x in found} == {(None, 200, 190), (9, 190, 0)}
+
+
 def test_empty_tables(spark):
     empty = frame(spark, [(1, "a")]).limit(0)
     assert suffix_dedup.substring_dedup(empty).count() == 0
