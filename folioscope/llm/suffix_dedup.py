@@ -64,14 +64,14 @@ def suffix_ranks(key: np.ndarray, depth: int, left: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _common(symbols: np.ndarray, starts: np.ndarray, most: int) -> np.ndarray:
+def _common(symbols: np.ndarray, starts: np.ndarray, most: int, step: int = 8192) -> np.ndarray:
     """The common prefix, up to ``most``, of each start with the one before; -1 for the first."""
     padded = np.r_[symbols, np.zeros(most, symbols.dtype)]
     found = np.full(len(starts), -1, np.int64)
-    for at in range(1, len(starts), 8192):
-        rows = padded[starts[at - 1 : at + 8191, None] + np.arange(most)]
+    for at in range(1, len(starts), step):
+        rows = padded[starts[at - 1 : at + step, None] + np.arange(most)]
         differ = rows[1:] != rows[:-1]
-        found[at : at + 8192] = np.where(differ.any(axis=1), differ.argmax(axis=1), most)
+        found[at : at + step] = np.where(differ.any(axis=1), differ.argmax(axis=1), most)
     return found
 
 

@@ -103,6 +103,14 @@ def test_prefix_free_parse_gives_corpus_order_and_repeats(trigger, modulus):
         assert parse.repeated(window).tolist() == [len(x) >= window and count[x[:window]] > 1 for x in suffixes]
 
 
+def test_common_prefixes_in_steps():
+    g = np.random.default_rng(8)
+    symbols, starts = g.integers(0, 2, 300).astype(np.uint16), g.integers(0, 290, 101)
+    found = suffix_dedup._common(symbols, starts, 9, 7)
+    padded = np.r_[symbols, np.zeros(9, int)]
+    assert found.tolist() == [-1] + [next((k for k in range(9) if padded[a + k] != padded[b + k]), 9) for a, b in zip(starts, starts[1:])]
+
+
 def test_rows_without_id_that_repeat_a_text_stay_linear(spark, monkeypatch):
     made = []
     plain = anchors._contexts
