@@ -35,32 +35,33 @@ from pyspark.sql import functions as F
 
 from .anchors import Bytes, covered, grams, repeated, with_repeats
 
-WINDOW, GRAM, SHARD = 200, 32, 6 << 20
+WINDOW, GRAM, SHARD = 200, 32, 2 << 20
 TRIGGER, MODULUS = 12, 32
 
 
-def _dense(key: np.ndarray) -> np.ndarray:
-    """Ranks from 1 on, equal for equal keys."""
-    order = np.argsort(key)
-    rank = np.empty(len(key), np.int64)
-    rank[order] = np.cumsum(np.r_[True, key[order][1:] != key[order][:-1]])
-    return rank
-
-
 def suffix_ranks(key: np.ndarray, depth: int, left: np.ndarray) -> np.ndarray:
     """Ranks of the suffixes of strings, equal for equal ones, by prefix doubling.
 
-    ``key`` orders them to ``depth`` symbols; ``left`` is how many a suffix has.
+    ``key`` orders them to ``depth`` symbols; ``left`` is how many a suffix has. A rank
+    is one more than the number of suffixes before it. Suffixes that are alone or have
+    ended leave the rounds: with an equal prefix, all have ended or none has.
     """
-    rank = _dense(key)
-    while depth < left.max(initial=0):
-        behind = np.zeros(len(rank), np.int64)
-        behind[:-depth] = rank[depth:]
-        behind[left <= depth] = 0
-        after = _dense(rank * (int(rank.max()) + 1) + behind)
-        if after.max() == rank.max():
-            break
-        rank, depth = after, depth * 2
+    n = len(key)
+    rank, active, behind = np.zeros(n, np.int64), np.arange(n), key
+    while len(active):
+        before = rank[active]
+        order = np.argsort(before * (n + 1) + behind) if active.size < n or rank.any() else np.argsort(behind)
+        before, behind, active = before[order], behind[order], active[order]
+        opens = np.r_[True, before[1:] != before[:-1]]
+        new = opens | np.r_[True, behind[1:] != behind[:-1]]
+        heads = np.flatnonzero(new)
+        sizes = np.diff(np.r_[heads, len(active)])
+        first = np.maximum.accumulate(np.where(opens, np.arange(len(active)), 0))[heads]
+        rank[active] = np.repeat(np.maximum(before[heads], 1) + heads - first, sizes)
+        active = active[np.repeat(sizes > 1, sizes)]
+        active = active[left[active] > depth]
+        behind = rank[active + depth]
+        depth *= 2
     return rank
 
 
