@@ -1,8 +1,9 @@
 """Quality classifier with hierarchical empirical Bayes over hosts and paths.
 
-1. *Evidence.* Every document gets a fixed vector of text statistics, and a
-   logistic regression fitted on labelled rows gives its log-odds. At most about
-   ``SAMPLE`` labelled rows are used, chosen by a hash of their doc_id.
+1. *Evidence.* Every document gets text statistics and counts of its words, hashed to
+   ``BUCKETS``; a ridge logistic regression fitted on labelled rows gives its log-odds.
+   At most about ``SAMPLE`` labelled documents are used, chosen by a hash of their
+   doc_id. Only those are gathered; all others are scored where they are read.
 2. *Sites.* Over all documents, grouped aggregation sums expected quality per host
    and per path. A host's posterior mean shrinks toward the global mean, a path's
    toward its host's; the strength of each prior is estimated by the method of
@@ -10,19 +11,27 @@
    parent.
 3. *Posterior.* A document's log-odds are its evidence plus its path's log-odds
    relative to the global ones. Its own contribution is taken out of its path
-   first, so no document vouches for itself. It is kept at ``KEEP`` or more.
+   first, so no document vouches for itself. It is kept at ``KEEP`` or more, so a tie
+   is kept.
 
-In ``documents`` the host is ``source`` and the path is ``source/lang``.
+Host and path are those of the column ``url`` where there is one: its host, and that
+with the first part of its path. ``documents`` has none; there the host is ``source``
+and the path is ``source/lang``.
 
 Defined cases: a null text counts as empty; a null host or path is a site of its
 own. Without labelled rows of both classes there is no evidence: every document
-has quality 0.5 and is kept. Repeated label rows count once each. An empty table
+has quality 0.5 and is kept. A doc_id that is labelled several times is good if at
+least half of its labels are; rows of one doc_id are scored each, and the least text
+of them is learnt from. Rows without doc_id are scored like others. An empty table
 gives an empty result. Columns other than the named are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,30 +41,33 @@ from pyspark.sql import functions as F
 
 from .durable import save, small_batches
 
-SAMPLE, KEEP, RIDGE = 20_000, 0.5, 1.0
-FEATURES = ("log_bytes", "log_words", "word_bytes", "upper", "digit", "bang", "bar", "other_punctuation", "full_stop", "comma", "line_breaks", "distinct_words", "distinct_lines", "ends_full_stop", "high_bytes", "control")
+SAMPLE, KEEP, RIDGE, BUCKETS = 20_000, 0.5, 1.0, 256
+STATISTICS = ("log_bytes", "log_words", "word_bytes", "upper", "digit", "punctuation", "full_stop", "comma", "punctuation_runs", "punctuation_words", "line_breaks", "distinct_words", "distinct_lines", "ends_full_stop", "high_bytes", "control")
 
 _UPPER, _DIGIT = slice(65, 91), slice(48, 58)
-_PUNCTUATION = np.array([b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in "!|.,"])
+_SIGNS = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
+_PUNCTUATION = np.array([ord(c) for c in _SIGNS if c not in ".,"])
+_RUNS = re.compile(f"[{re.escape(_SIGNS)}]{{2,}}".encode())
+_ALONE = re.compile(rf"(?<!\S)[{re.escape(_SIGNS)}]+(?!\S)".encode())
 
 
-def features(text: str | None) -> list[float]:
-    """The statistics named in FEATURES."""
+def features(text: str | None, buckets: int = BUCKETS) -> np.ndarray:
+    """The statistics named in STATISTICS, then the logarithms of the hashed words' counts in a hundred words."""
     data = (text or "").encode()
     counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     words, lines = data.split(), data.split(b"\n")
     n, w = max(1, len(data)), max(1, len(words))
-    return [
+    own = [
         math.log1p(len(data)),
         math.log1p(len(words)),
         min(40.0, len(data) / w) / 10,
         counts[_UPPER].sum() / n,
         counts[_DIGIT].sum() / n,
-        counts[33] / w,
-        counts[124] / w,
         counts[_PUNCTUATION].sum() / w,
         counts[46] / w,
         counts[44] / w,
+        len(_RUNS.findall(data)) / w,
+        len(_ALONE.findall(data)) / w,
         counts[10] / w,
         len(set(words)) / w,
         len(set(lines)) / len(lines),
@@ -63,21 +75,10 @@ def features(text: str | None) -> list[float]:
         counts[128:].sum() / n,
         (counts[:32].sum() - counts[9] - counts[10] - counts[13]) / n,
     ]
-
-
-def featured(docs: DataFrame, id_col: str, text_col: str, host: Column, path: Column) -> DataFrame:
-    """(doc_id, host, path, features) of every document."""
-    small_batches(docs.sparkSession)
-    chosen = docs.select(F.col(id_col).alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"), F.col(text_col).cast("string").alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = np.array([features(t.as_py()) for t in batch.column(3)], np.float64).reshape(-1)
-            ends = pa.array(np.arange(0, len(values) + 1, len(FEATURES)), pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(ends, pa.array(values))], ["doc_id", "host", "path", "features"])
-
-    kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, host string, path string, features array<double>")
+    hashed = np.zeros(buckets)
+    for word, times in Counter(data.lower().split()).items():
+        hashed[zlib.crc32(word.strip(_SIGNS.encode())) % buckets] += times
+    return np.concatenate([own, np.log1p(hashed * 100 / w)])
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 50) -> tuple[np.ndarray, float]:
@@ -97,16 +98,54 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 50) ->
     return weights, float(beta[-1] - weights @ mean)
 
 
-def train(table: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE) -> tuple[np.ndarray, float] | None:
-    """Fit on about ``sample`` labelled rows at most; None without both classes."""
-    rows = labels.select(F.col("doc_id"), F.col(label_col).cast("double").alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
+def _labelled(docs: DataFrame, labels: DataFrame, label_col: str, sample: int) -> DataFrame:
+    """(doc_id, y, text): one row per labelled document, about ``sample`` at most; ``docs`` has doc_id and text."""
+    votes = labels.select("doc_id", F.col(label_col).cast("double").alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
+    rows = save(votes.groupBy("doc_id").agg((F.avg(F.when(F.col("y") > 0, 1.0).otherwise(0.0)) >= 0.5).cast("double").alias("y")).join(docs.select("doc_id"), "doc_id", "left_semi"), "labelled")
     n = rows.count()
     if n > sample:
         rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * sample / n))
-    chosen = table.join(rows, "doc_id").select("features", "y").toPandas()  # bounded by ``sample``
+    # Bounded by ``sample``, so it is broadcast; a doc_id that repeats is reduced where it is read.
+    return docs.join(F.broadcast(rows), "doc_id").groupBy("doc_id", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+
+
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE) -> tuple[np.ndarray, float, np.ndarray, np.ndarray] | None:
+    """Weights, bias, and the least and largest of each feature met, from about ``sample`` labelled documents at most; None without both classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [features(t.as_py()).astype("<f4").tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["y", "features"])
+
+    chosen = _labelled(docs, labels, label_col, sample).select("y", "text").mapInArrow(run, "y double, features binary").toPandas()  # bounded by ``sample``
     if chosen["y"].nunique() < 2:
         return None
-    return fit(np.stack(chosen["features"].to_numpy()), (chosen["y"] > 0).to_numpy(float))
+    x = np.frombuffer(b"".join(chosen["features"]), "<f4").reshape(len(chosen), -1).astype(float)
+    return *fit(x, chosen["y"].to_numpy(float)), x.min(axis=0), x.max(axis=0)
+
+
+def scored(docs: DataFrame, model: tuple[np.ndarray, float, np.ndarray, np.ndarray]) -> DataFrame:
+    """(doc_id, text_sha256, host, path, evidence) of every row of (doc_id, text_sha256, host, path, text).
+
+    Features beyond what was learnt from, as those of a very long text, count as the nearest that was met.
+    """
+    weights, bias, least, most = model
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            evidence = [min(12.0, max(-12.0, float(np.clip(features(t.as_py()), least, most) @ weights) + bias)) for t in batch.column(4)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(evidence, pa.float64())], ["doc_id", "text_sha256", "host", "path", "evidence"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {kind}, text_sha256 string, host string, path string, evidence double")
+
+
+def sites(docs: DataFrame) -> tuple[Column, Column]:
+    """Host and path of a document: of its ``url``, or its ``source`` and ``lang``."""
+    if "url" in docs.columns:
+        host = F.try_parse_url("url", F.lit("HOST"))
+        return host, F.concat_ws("/", host, F.split_part(F.try_parse_url("url", F.lit("PATH")), F.lit("/"), F.lit(2)))
+    return F.col("source"), F.concat_ws("/", F.col("source"), F.col("lang"))
 
 
 def _logit(p: Column) -> Column:
@@ -126,23 +165,29 @@ def _strength(sites: DataFrame, parent: Column, most: float = 1e4) -> float:
 
 
 def quality(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, keep: float = KEEP) -> DataFrame:
-    """(doc_id, evidence, site, quality, kept): one row per input row."""
-    host = F.col("source") if host is None else host
-    path = F.concat_ws("/", F.col("source"), F.col("lang")) if path is None else path
-    table = save(featured(docs, id_col, text_col, F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))), "features")
-    model = train(table, labels, label_col, sample)
+    """(doc_id, text_sha256, evidence, site, quality, kept): one row per input row; text_sha256 tells the rows of a repeated doc_id apart."""
+    small_batches(docs.sparkSession)
+    if host is None or path is None:
+        own = sites(docs)
+        host, path = own[0] if host is None else host, own[1] if path is None else path
+    text = F.col(text_col).cast("string")
+    site_names = [F.coalesce(c.cast("string"), F.lit("")).alias(n) for c, n in ((host, "host"), (path, "path"))]
+    chosen = docs.select(F.col(id_col).alias("doc_id"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("text_sha256"), *site_names, text.alias("text"))
+    model = train(chosen.select("doc_id", "text"), labels, label_col, sample)
     if model is None:
         flat = F.lit(0.5)
-        return table.select("doc_id", F.lit(0.0).alias("evidence"), flat.alias("site"), flat.alias("quality"), F.lit(True).alias("kept"))
-    weights, bias = model
-    evidence = sum((F.col("features")[k] * float(w) for k, w in enumerate(weights)), F.lit(bias))
-    evidence = F.greatest(F.lit(-12.0), F.least(F.lit(12.0), evidence))
-    scored = table.select("doc_id", "host", "path", evidence.alias("evidence")).withColumn("p", 1 / (1 + F.exp(-F.col("evidence"))))
-    paths = save(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("total")), "paths")
+        return chosen.select("doc_id", "text_sha256", F.lit(0.0).alias("evidence"), flat.alias("site"), flat.alias("quality"), F.lit(True).alias("kept"))
+    rows = save(scored(chosen, model).withColumn("p", 1 / (1 + F.exp(-F.col("evidence")))), "evidence")
+    return posteriors(rows, keep).select("doc_id", "text_sha256", "evidence", "site", "quality", "kept")
+
+
+def posteriors(rows: DataFrame, keep: float = KEEP) -> DataFrame:
+    """Adds site, quality and kept to rows with host, path, evidence and its probability ``p``."""
+    paths = save(rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("total")), "paths")
     hosts = save(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "hosts")
     whole = hosts.agg(F.sum("n").alias("n"), F.sum("total").alias("total")).first()
     if not whole["n"]:
-        return scored.select("doc_id", "evidence", F.col("p").alias("site"), F.col("p").alias("quality"), F.lit(True).alias("kept"))
+        return rows.withColumns({"site": F.col("p"), "quality": F.col("p"), "kept": F.lit(True)})
     base = F.lit(whole["total"] / whole["n"])
     over_hosts = _strength(hosts, base)
     host_mean = (F.lit(over_hosts) * base + F.col("total")) / (F.lit(over_hosts) + F.col("n"))
@@ -151,13 +196,9 @@ def quality(docs: DataFrame, labels: DataFrame, host: Column | None = None, path
     over_paths = F.lit(_strength(under, F.col("host_mean")))
     site = (over_paths * F.col("host_mean") + F.col("total") - F.col("p")) / (over_paths + F.col("n") - 1)
     posterior = F.col("evidence") + _logit(F.col("site")) - _logit(base)
-    return (
-        scored.join(under, ["host", "path"])
-        .withColumn("site", site)
-        .withColumn("quality", 1 / (1 + F.exp(-posterior)))
-        .select("doc_id", "evidence", "site", "quality", (F.col("quality") >= keep).alias("kept"))
-    )
+    judged = rows.join(under, ["host", "path"]).withColumn("site", site).withColumn("quality", 1 / (1 + F.exp(-posterior)))
+    return judged.withColumn("kept", F.col("quality") >= keep)
 
 
 def op3_quality(spark, sf_dir: str) -> DataFrame:
-    return quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text_sha256")

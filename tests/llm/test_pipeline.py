@@ -44,7 +44,8 @@ def plain(rows, kept):
         for p in range(len(d) - 199):
             if count[hash(d[p : p + 200])] > 1:
                 gone[p : p + 200] = True
-        out[k] = bytes(np.frombuffer(d, np.uint8)[~gone]).decode("utf-8", "ignore")
+        edges = np.flatnonzero(np.diff(np.r_[True, gone, True].astype(int))).tolist()
+        out[k] = "".join(d[a:b].decode("utf-8", "ignore") for a, b in zip(edges[::2], edges[1::2]))
     return out
 
 
@@ -76,7 +77,31 @@ def test_stages_keep_the_columns_and_odd_rows(spark, sf):
         assert out.columns == docs.columns
     ids = [x["doc_id"] for x in out.collect()]
     assert None in ids and 3 not in ids and 1 in ids
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs.unionByName(docs), sf).collect()
+    assert sorted(x["doc_id"] for x in packed if x["doc_id"] and not x["start"]) == [1, 1, 2, 2, 2, 2, 3, 3, 4, 4, 5, 5]
+    assert sum(x["doc_id"] is None for x in packed) == 2
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         empty = stage(spark, empty, sf)
     assert corpus_pipeline.STAGES[-1][1](spark, empty, sf).count() == 0
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark, sf):
+    r = np.random.default_rng(3)
+    a, b, c = (" ".join(f"w{x}" for x in r.integers(0, 9000, 300)) for _ in range(3))
+    rows = [(3, a), (7, a.replace(" ", "\t\n", 2)), (7, b), (8, b), (9, b + " end"), (9, c), (9, c), (None, b), (11, a + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "length(text) AS n_chars", "1 AS text_sha256", "2 AS dropped_id")
+    exact = corpus_pipeline.exact(spark, docs, sf)
+    assert exact.columns == docs.columns
+    left = sorted(((x["doc_id"], x["text"]) for x in exact.collect()), key=str)
+    assert left == sorted([(3, a), (7, b), (9, b + " end"), (9, c), (9, c), (None, b), (11, a + " x")], key=str)
+    near = sorted(((x["doc_id"], x["text"]) for x in corpus_pipeline.near(spark, exact, sf).collect()), key=str)
+    assert near == sorted([(3, a), (7, b), (9, c), (9, c), (None, b)], key=str)
+
+
+def test_passages_keep_characters_of_the_text(spark, sf):
+    shared = "é" * 150
+    rows = [(1, "keep \ufffd mark " + shared), (2, "xx" + shared + "è"), (3, "alone \ufffd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
+    found = {x["doc_id"]: (x["text"], x["n_chars"]) for x in corpus_pipeline.passages(spark, docs, sf).collect()}
+    assert found == {1: ("keep \ufffd mark ", 12), 2: ("xx", 2), 3: ("alone \ufffd", 7)}

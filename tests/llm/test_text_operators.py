@@ -1,6 +1,7 @@
 """Operators 3, 7, 8 and 9: round trips, held-out accuracy, brute force, and their defined cases."""
 
 import base64
+import math
 import random
 import re
 import zlib
@@ -122,6 +123,66 @@ def test_quality_shrinks_sparse_sites(spark):
     assert quality.quality(docs.limit(0), labels).count() == 0
 
 
+def plain_posteriors(rows, keep=0.5):
+    """(site, quality, kept) of each of (host, path, evidence), by plain loops."""
+    p = [1 / (1 + math.exp(-e)) for *_, e in rows]
+    base = sum(p) / len(p)
+
+    def strength(sites):
+        own = [(total / n, n, parent) for total, n, parent in sites if n > 1]
+        if not own:
+            return 1e4
+        between = (sum((m - q) ** 2 / max(q * (1 - q), 1e-9) for m, _, q in own) - sum(1 / n for _, n, _ in own)) / len(own)
+        return 1e4 if between <= 1e-4 else max(1.0, 1 / between - 1)
+
+    def totals(key):
+        return {k: (sum(x for x, r in zip(p, rows) if key(r) == k), sum(key(r) == k for r in rows)) for k in map(key, rows)}
+
+    def logit(x):
+        x = min(1 - 1e-6, max(1e-6, x))
+        return math.log(x / (1 - x))
+
+    hosts, paths = totals(lambda r: r[0]), totals(lambda r: r[:2])
+    a = strength([(*x, base) for x in hosts.values()])
+    mean = {h: (a * base + total) / (a + n) for h, (total, n) in hosts.items()}
+    b = strength([(*x, mean[k[0]]) for k, x in paths.items()])
+    out = []
+    for own, (host, path, e) in zip(p, rows):
+        total, n = paths[host, path]
+        site = (b * mean[host] + total - own) / (b + n - 1)
+        q = 1 / (1 + math.exp(-(e + logit(site) - logit(base))))
+        out.append((site, q, q >= keep))
+    return out
+
+
+def test_quality_posteriors_equal_plain_loops(spark):
+    r = random.Random(6)
+    rows = [(h := f"h{min(9, int(r.expovariate(0.4)))}", f"{h}/{r.randrange(4)}", r.gauss(int(h[1:]) / 3 - 1, 2)) for _ in range(300)] + [("lone", "lone/x", -3.0), ("", "", 0.5)]
+    rows = rows + rows[:7]
+    df = spark.createDataFrame([(k, *x) for k, x in enumerate(rows)], "doc_id long, host string, path string, evidence double").selectExpr("*", "1 / (1 + exp(-evidence)) AS p").repartition(4)
+    found = {x["doc_id"]: (x["site"], x["quality"], x["kept"]) for x in quality.posteriors(df).collect()}
+    for k, (site, q, kept) in enumerate(plain_posteriors(rows)):
+        assert found[k][0] == pytest.approx(site) and found[k][1] == pytest.approx(q) and found[k][2] == kept
+
+
+def test_quality_of_urls_repeated_labels_and_odd_rows(spark):
+    good, bad = "Good plain words in a line. " * 5, "BAD!! BAD!! WORDS!! "
+    rows = [(k, good * (1 + k % 9) + f"n{k}", f"https://a.org/x/{k}", 1.5, "c") for k in range(40)] + [(100 + k, bad * (1 + k), f"http://b.net/{k % 2}/y", 1.5, "c") for k in range(40)]
+    rows += [(7, good, "https://a.org/x", 0.0, "c")] * 200 + [(None, good, None, 0.0, "c"), (600, good * 9 + "n " * 200_000, "not a url", 0.0, "c"), (601, None, "https://a.org", 0.0, "c"), (602, "", "https://a.org/?q", 0.0, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, url string, features double, host string").repartition(5)
+    labels = spark.createDataFrame([(k, 1) for k in range(40)] + [(100 + k, 0) for k in range(40)] + [(7, 1)] * 50 + [(7, 0)] * 60 + [(8, 1), (8, 0)], "doc_id long, quality int")
+    table = quality._labelled(docs, labels, "quality", 1000).collect()
+    assert len(table) == 80 and {x["doc_id"]: x["y"] for x in table}[7] == 0.0 and {x["doc_id"]: x["y"] for x in table}[8] == 1.0
+    assert len(quality._labelled(docs, labels, "quality", 20).collect()) < 50
+    found = quality.quality(docs, labels).collect()
+    assert len(found) == len(rows)
+    by_id = {x["doc_id"]: x["kept"] for x in found}
+    assert by_id[20] and not by_id[120] and by_id[None] and by_id[600] in (True, False)
+    host, path = quality.sites(docs)
+    named = {(x[0], x[1]) for x in docs.select(host, path).collect()}
+    assert {("a.org", "a.org/x"), ("b.net", "b.net/0"), ("b.net", "b.net/1")} <= named
+
+
 def test_licence_rules(spark):
     full = "Copyright 2020 X\n\n" + "\n\n".join(re.sub(r"(.{50,70}?) ", "\\1\n", licences.SENTENCES[k]) for k in ("mit.grant", "mit.notice", "mit.warranty")) + "\n"
     wrong = "\n\n".join(licences.SENTENCES[k] for k in ("mit.warranty", "mit.notice", "mit.grant"))
