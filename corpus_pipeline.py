@@ -7,52 +7,59 @@ passages are cut out of texts) and packing. Each stage works on everything the
 one before has kept and its decisions take effect; all but the last return the
 columns of ``documents``.
 
-Rows of one doc_id are one document and stand or fall together; rows without
-doc_id are never dropped, but lose repeated passages like others. A document
-whose whole text is repeated elsewhere stays as a row with an empty text. Null
-texts count as empty.
+Rows of one doc_id and one text (in exact dedup, one text but for white space) are
+one document and stand or fall together; rows of one doc_id with different texts are
+judged each. Rows without doc_id are never dropped, but lose repeated passages like
+others. A document whose whole text is repeated elsewhere stays as a row with an empty
+text. Null texts count as empty, columns beyond those of ``documents`` are kept as
+they are, and an empty table passes through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.llm import durable, exact_dedup, packing, simhash, suffix_dedup
 from folioscope.llm import quality as quality_model
 
 
-def _without(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """``docs`` less the documents that ``decisions`` (doc_id, kept) drops."""
-    dropped = durable.save(decisions.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+def _without(docs: DataFrame, decisions: DataFrame, text: Column) -> DataFrame:
+    """``docs`` less the rows that ``decisions`` (doc_id, text_sha256 of ``text``, kept) drops."""
+    dropped = durable.save(decisions.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("dropped_id"), F.col("text_sha256").alias("dropped_text")).distinct(), "dropped")
+    return docs.join(dropped, (docs["doc_id"] == dropped["dropped_id"]) & (F.sha2(text, 256) == dropped["dropped_text"]), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, quality_model.quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    """Drops documents whose quality, by text and site, is below one half. Without labels of both classes nothing goes."""
+    return _without(docs, quality_model.quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), F.coalesce("text", F.lit("")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, exact_dedup.exact_dedup(docs))
+    """Of texts equal but for white space, keeps the rows with the smallest doc_id. Empty and null texts are equal."""
+    return _without(docs, exact_dedup.exact_dedup(docs), exact_dedup.normalised("text"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, simhash.similar_dedup(docs))
+    """Of each component of similar texts, keeps the smallest doc_id; texts without words are similar to one another."""
+    return _without(docs, simhash.similar_dedup(docs), F.coalesce("text", F.lit("")))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts every repeated passage of 200 bytes or more out of all texts; all rows stay.
+
+    What a cut leaves of a character at its edges goes too. Null texts become empty.
+    """
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    cut = suffix_dedup.substring_dedup(docs, carry=others)
-    # A cut may leave a part of a character at its edges; such bytes are no text and go too.
-    damaged = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
-    text = F.when(F.try_validate_utf8(F.col("kept").cast("string")).isNull(), damaged).otherwise(F.col("kept").cast("string"))
-    columns = {"doc_id": F.col("doc_id"), "text": text, **{c: F.col("carried")[c] for c in others}}
+    cut = suffix_dedup.substring_dedup(docs, carry=others, as_text=True)
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("kept"), **{c: F.col("carried")[c] for c in others}}
     if "n_chars" in columns:
-        columns["n_chars"] = F.char_length(text).cast("long")
+        columns["n_chars"] = F.char_length("kept").cast("long")
     return cut.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokenises and packs every row, repeated ones and those without doc_id or text too, into sequences."""
     return packing.pack_documents(docs)
 
 
