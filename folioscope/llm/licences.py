@@ -26,7 +26,9 @@ from __future__ import annotations
 
 import re
 import string
+from functools import reduce
 from itertools import product
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -199,8 +201,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", senten
     unwrapped = F.regexp_replace(F.regexp_replace(marked, "[ \t\r\n]+", " "), _END, "$1\n")
     by_paragraph = F.split(F.translate(unwrapped, "\u001e", "\n"), "\n")
     none = F.array().cast("array<string>")
-    cued = text.rlike(_CUE)
-    cut = docs.select(F.col(id_col).alias("doc_id"), F.when(cued, by_line).otherwise(none).alias("lines"), F.when(cued, by_paragraph).otherwise(none).alias("paragraphs"))
+    # A plain search of the lower-cased text spares all others the patterns.
+    cued = reduce(or_, (F.col("low").contains(cue) for cue in CUES))
+    cut = docs.withColumn("low", F.lower(text)).select(F.col(id_col).alias("doc_id"), F.when(cued, by_line).otherwise(none).alias("lines"), F.when(cued, by_paragraph).otherwise(none).alias("paragraphs"))
     rows = cut.select("doc_id", _identified(F.col("lines"), known).alias("sentence_ids"), _identified(F.col("paragraphs"), known).alias("wrapped_ids"))
     found = F.concat(*[F.when(F.size(c) > 0, _named(F.col(c), alone, several)).otherwise(none) for c in ("sentence_ids", "wrapped_ids")])
     return rows.select("doc_id", F.array_sort(F.array_distinct(found)).alias("licences"), F.size("sentence_ids").cast("long").alias("n_sentences"), "sentence_ids")
