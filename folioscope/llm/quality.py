@@ -28,10 +28,6 @@ gives an empty result. Columns other than the named are ignored.
 
 from __future__ import annotations
 
-import math
-import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,38 +43,59 @@ STATISTICS = ("log_bytes", "log_words", "word_bytes", "upper", "digit", "punctua
 _UPPER, _DIGIT = slice(65, 91), slice(48, 58)
 _SIGNS = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
 _PUNCTUATION = np.array([ord(c) for c in _SIGNS if c not in ".,"])
-_RUNS = re.compile(f"[{re.escape(_SIGNS)}]{{2,}}".encode())
-_ALONE = re.compile(rf"(?<!\S)[{re.escape(_SIGNS)}]+(?!\S)".encode())
-
-
-def features(text: str | None, buckets: int = BUCKETS) -> np.ndarray:
-    """The statistics named in STATISTICS, then the logarithms of the hashed words' counts in a hundred words."""
-    data = (text or "").encode()
-    counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
-    words, lines = data.split(), data.split(b"\n")
-    n, w = max(1, len(data)), max(1, len(words))
-    own = [
-        math.log1p(len(data)),
-        math.log1p(len(words)),
-        min(40.0, len(data) / w) / 10,
-        counts[_UPPER].sum() / n,
-        counts[_DIGIT].sum() / n,
-        counts[_PUNCTUATION].sum() / w,
-        counts[46] / w,
-        counts[44] / w,
-        len(_RUNS.findall(data)) / w,
-        len(_ALONE.findall(data)) / w,
-        counts[10] / w,
-        len(set(words)) / w,
-        len(set(lines)) / len(lines),
-        float(data.rstrip().endswith(b".")),
-        counts[128:].sum() / n,
-        (counts[:32].sum() - counts[9] - counts[10] - counts[13]) / n,
+_BLANK = np.array([chr(b).isspace() and b < 33 and b not in (28, 29, 30, 31) for b in range(256)])
+_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
+_VALUES[_UPPER] = _VALUES[97:123]
+_VALUES[[b for b in range(128) if not chr(b).isalnum()]] = 0
+_POWERS = np.cumprod(np.full(64, 0xD6E8FEB86659FD93, np.uint64), dtype=np.uint64)
+_SIGN = np.array([b < 128 and chr(b) in _SIGNS for b in range(256)])
+
+
+def features(texts: list[str | None], buckets: int = BUCKETS) -> np.ndarray:
+    """A row per text: the statistics named in STATISTICS, then the logarithms of the hashed words' counts in a hundred words."""
+    datas = [(t or "").encode() for t in texts]
+    split = [d.split() for d in datas]
+    lines = [d.split(b"\n") for d in datas]
+    sizes, n_words = np.array([len(d) for d in datas]), np.array([len(x) for x in split])
+    codes = np.frombuffer(b"\n" + b"\n".join(datas) + b"\n", np.uint8)  # a line feed before and behind each text
+    of = np.repeat(np.arange(len(datas)), sizes + 1)  # text of every code but the first
+    own = codes[1:]
+    counts = np.bincount(of * 256 + own, minlength=256 * len(datas)).reshape(-1, 256)
+    counts[:, 10] -= 1
+    sign, blank = _SIGN[codes], _BLANK[codes]
+    edges = np.flatnonzero(sign[1:] != sign[:-1]) + 1
+    first, behind = edges[::2], edges[1::2]  # runs of signs
+    run_of = of[first - 1]
+    runs = np.bincount(run_of[behind - first > 1], minlength=len(datas))
+    alone = np.bincount(run_of[blank[first - 1] & blank[behind]], minlength=len(datas))
+    n, w = np.maximum(1, sizes), np.maximum(1, n_words)
+    statistics = [
+        np.log1p(sizes),
+        np.log1p(n_words),
+        np.minimum(40.0, sizes / w) / 10,
+        counts[:, _UPPER].sum(axis=1) / n,
+        counts[:, _DIGIT].sum(axis=1) / n,
+        counts[:, _PUNCTUATION].sum(axis=1) / w,
+        counts[:, 46] / w,
+        counts[:, 44] / w,
+        runs / w,
+        alone / w,
+        counts[:, 10] / w,
+        np.array([len(set(x)) for x in split]) / w,
+        np.array([len(set(x)) / len(x) for x in lines]),
+        np.array([d.rstrip().endswith(b".") for d in datas], float),
+        counts[:, 128:].sum(axis=1) / n,
+        (counts[:, :32].sum(axis=1) - counts[:, 9] - counts[:, 10] - counts[:, 13]) / n,
     ]
-    hashed = np.zeros(buckets)
-    for word, times in Counter(data.lower().split()).items():
-        hashed[zlib.crc32(word.strip(_SIGNS.encode())) % buckets] += times
-    return np.concatenate([own, np.log1p(hashed * 100 / w)])
+    starts = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
+    hashed = np.zeros(len(datas) * buckets, np.int64)
+    if len(starts):
+        # A word's hash is of its letters and digits; A-Z count as a-z.
+        place = np.arange(starts[0], len(codes)) - np.repeat(starts, np.diff(np.r_[starts, len(codes)]))
+        hashes = np.add.reduceat(_VALUES[codes[starts[0] :]] * _POWERS[np.minimum(place, len(_POWERS) - 1)], starts - starts[0])
+        hashes = (hashes ^ hashes >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+        hashed = np.bincount(of[starts - 1] * buckets + ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), minlength=len(hashed))
+    return np.c_[np.stack(statistics, axis=1), np.log1p(hashed.reshape(-1, buckets) * 100 / w[:, None])]
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 50) -> tuple[np.ndarray, float]:
@@ -113,8 +130,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
     """Weights, bias, and the least and largest of each feature met, from about ``sample`` labelled documents at most; None without both classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [features(t.as_py()).astype("<f4").tobytes() for t in batch.column(1)]
+        for batch in (b for b in batches if b.num_rows):
+            packed = [row.tobytes() for row in features(batch.column(1).to_pylist()).astype("<f4")]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["y", "features"])
 
     chosen = _labelled(docs, labels, label_col, sample).select("y", "text").mapInArrow(run, "y double, features binary").toPandas()  # bounded by ``sample``
@@ -133,7 +150,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float, np.ndarray, np.ndarr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            evidence = [min(12.0, max(-12.0, float(np.clip(features(t.as_py()), least, most) @ weights) + bias)) for t in batch.column(4)]
+            evidence = np.clip(np.clip(features(batch.column(4).to_pylist()), least, most) @ weights + bias, -12.0, 12.0) if batch.num_rows else []
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(evidence, pa.float64())], ["doc_id", "text_sha256", "host", "path", "evidence"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

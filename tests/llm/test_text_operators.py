@@ -165,6 +165,20 @@ def test_quality_posteriors_equal_plain_loops(spark):
         assert found[k][0] == pytest.approx(site) and found[k][1] == pytest.approx(q) and found[k][2] == kept
 
 
+def test_features_of_each_text_are_its_own():
+    texts = ["  The the, THE! cat\tcat\n\u00e9t\u00e9 ", "", None, " \n", "a !! b?! | cc, (d) #\n&", "x" * 1000 + " y.", "|", "ab", "ba", "Z"]
+    made, named = quality.features(texts), len(quality.STATISTICS)
+    assert made.shape == (len(texts), named + quality.BUCKETS)
+    for k, t in enumerate(texts):
+        assert (made[k] == quality.features([t])[0]).all()
+    words = np.rint(np.expm1(made[:, named:]) * np.maximum(1, [len((t or "").split()) for t in texts])[:, None] / 100).astype(int)
+    assert words.sum(axis=1).tolist() == [6, 0, 0, 0, 8, 2, 1, 1, 1, 1] and sorted(words[0][words[0] > 0]) == [1, 2, 3]
+    assert (words[7] != words[8]).any()
+    signs = made[4, [quality.STATISTICS.index(x) for x in ("punctuation_runs", "punctuation_words", "line_breaks", "comma")]]
+    assert (signs * 8).tolist() == [2, 4, 1, 1]
+    assert made[0, quality.STATISTICS.index("line_breaks")] == 1 / 6 and made[5, quality.STATISTICS.index("ends_full_stop")] == 1
+
+
 def test_quality_of_urls_repeated_labels_and_odd_rows(spark):
     good, bad = "Good plain words in a line. " * 5, "BAD!! BAD!! WORDS!! "
     rows = [(k, good * (1 + k % 9) + f"n{k}", f"https://a.org/x/{k}", 1.5, "c") for k in range(40)] + [(100 + k, bad * (1 + k), f"http://b.net/{k % 2}/y", 1.5, "c") for k in range(40)]
