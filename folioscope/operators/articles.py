@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markdown, refs, text
 from ..sources import mdx_corpus
+from ..sources.scratch import saved
 from . import ids, images
 
 SHORT = 40
@@ -53,12 +54,18 @@ def references(articles: DataFrame) -> DataFrame:
 
 
 def build_articles(spark: SparkSession, root: str, decoder: images.Decoder | None = None, max_edge: int = 4096, keep_frames: bool = False, limit: int = 0, preserve_newlines: bool = False) -> Build:
-    """The whole first stage, lazily."""
-    every = parsed(mdx_corpus.read_corpus(spark, root, limit), preserve_newlines)
+    """The whole first stage. Articles are parsed and images decoded once; what comes of it is written and read by all else.
+
+    Rows are numbered without gaps. An unreadable article still counts where ids are told apart.
+    """
+    every = saved(parsed(mdx_corpus.read_corpus(spark, root, limit), preserve_newlines), "parsed")
     failed = every.filter("text IS NULL").select(F.col("rel_path").alias("article"), F.lit("not readable as UTF-8").alias("error"))
     rows = every.filter("text IS NOT NULL")
+    unreadable = every.filter("text IS NULL").select("row_idx")
+    if not unreadable.isEmpty():
+        rows = saved(ids.dense(rows, unreadable), "dense")
     found = images.resolve(references(rows), mdx_corpus.read_files(spark, root))
-    good = images.decode_once(found.filter("reason IS NULL"), decoder or images.default_decoder(), max_edge, keep_frames)
+    good = saved(images.decode_once(found.filter("reason IS NULL"), decoder or images.default_decoder(), max_edge, keep_frames), "decoded")
     every_ref = good.unionByName(found.filter("reason IS NOT NULL"), allowMissingColumns=True)
     error = F.coalesce("reason", "error")
     bad = every_ref.filter(error.isNotNull()).select("row_idx", "pos", "id", F.col("rel_path").alias("article"), F.col("original_ref").alias("ref"), F.when(error != "missing", F.col("abs_path")).alias("resolved"), error.alias("error"))

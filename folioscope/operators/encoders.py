@@ -26,28 +26,6 @@ class Encoder(Protocol):
     def encode_queries(self, texts: list[str]) -> np.ndarray: ...
 
 
-class HashEncoder:
-    """Buckets words by a hash, counts and normalises. A test double for a model, not a claim of quality."""
-
-    def __init__(self, dim: int = 64):
-        self.dim = dim
-
-    def ensure(self) -> None:
-        pass
-
-    def _vector(self, text: str) -> list[float]:
-        words = [w for w in text.lower().replace("\t", " ").replace("\n", " ").split(" ") if w]
-        counts = [0] * self.dim
-        for word, n in Counter(words).items():
-            counts[int(hashlib.md5(word.encode()).hexdigest()[:6], 16) % self.dim] += n
-        norm = math.sqrt(sum(n * n for n in counts))
-        return [n / norm if norm else 0.0 for n in counts]
-
-    def encode_documents(self, texts: list[str] | None, images: list[Any] | None) -> np.ndarray: ...
-
-    def encode_queries(self, texts: list[str]) -> np.ndarray: ...
-
-
 class HashEncoder:
     """Buckets words by a hash, counts and normalises. A test double for a model, not a claim of quality."""
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from . import images, stats
 
+LARGE = 30
 _COLUMNS = ("rule", "row_idx", "id", "pos", "message")
 
 
@@ -36,6 +37,12 @@ def list_rule(articles: DataFrame) -> DataFrame:
     return _union([_violations(articles, "C2", F.col("images").isNull(), "images is null"), _violations(articles, "C4", F.col("image_refs").isNull(), "image_refs is null")])
 
 
+def round_trip_rule(articles: DataFrame) -> DataFrame:
+    """Lists come back from storage as they went in: text is a string, an empty list is a list, and no image of a list is null."""
+    gone = F.coalesce(F.exists("images", lambda i: i.isNull() | (i["bytes"].isNull() & i["path"].isNull())), F.lit(False))
+    return _union([_violations(articles, "C1", F.col("content").isNull(), "content is null"), _violations(articles, "C2", gone, "a null in images")])
+
+
 def alignment_rule(articles: DataFrame) -> DataFrame:
     a, b = F.coalesce(F.size("images"), F.lit(0)), F.coalesce(F.size("image_refs"), F.lit(0))
     return _violations(articles, "C4", F.greatest(a, F.lit(0)) != F.greatest(b, F.lit(0)), F.concat(F.lit("len(images)="), a.cast("string"), F.lit(" != len(image_refs)="), b.cast("string")))
@@ -52,7 +59,7 @@ def image_rule(articles: DataFrame, decoder: images.Decoder) -> DataFrame:
         for cell in column:
             try:
                 if not cell.as_py():
-                    raise ValueError("no image bytes")
+                    raise ValueError("an image without content")
                 width, height, mode, frames = decoder.probe(cell.as_py())
                 bad = [m for m, b in ((f"mode={mode}", mode not in ("RGB", "RGBA")), (f"n_frames={frames}", frames != 1), ("size zero", width <= 0 or height <= 0)) if b]
                 said.append("; ".join(bad) or None)
@@ -77,7 +84,7 @@ def hard_gate(articles: DataFrame, flagged: DataFrame, expected: int, decoder: i
 def handoff_gate(articles: DataFrame, flagged: DataFrame, first: int = 8) -> DataFrame:
     """The row rules on the first rows only."""
     head = articles.filter(F.col("row_idx") < first)
-    return _union([content_rule(head, flagged), list_rule(head), alignment_rule(head)]).select(*_COLUMNS)
+    return _union([content_rule(head, flagged), list_rule(head), alignment_rule(head), round_trip_rule(head)]).select(*_COLUMNS)
 
 
 def sampled_images(articles: DataFrame, cap: int = 400) -> DataFrame:
@@ -102,19 +109,37 @@ def sampled_images(articles: DataFrame, cap: int = 400) -> DataFrame:
 
 
 def first_divergence(found: DataFrame, expected: DataFrame) -> DataFrame:
-    """(row_idx, expected_id, id) where ids first differ from a prefix of the expected order, if they do."""
+    """(row_idx, expected_id, id) where ids first differ from a prefix of the expected order, if they do.
+
+    The prefix is as long as the table. A row that is missing or too many differs too.
+    """
     wanted = expected.select("row_idx", F.col("id").alias("expected_id"))
-    joined = found.select("row_idx", "id").join(wanted, "row_idx", "left")
+    last = found.agg(F.count("*").alias("n"))
+    prefix = wanted.join(F.broadcast(last), F.col("row_idx") < F.col("n")).drop("n")  # one row
+    joined = found.select("row_idx", "id").join(prefix, "row_idx", "full")
     return joined.filter(~F.col("id").eqNullSafe(F.col("expected_id"))).select("row_idx", "expected_id", "id").orderBy("row_idx").limit(1)
 
 
+def large_rows(articles: DataFrame, least: int = LARGE) -> DataFrame:
+    """(row_idx, n) of rows with many images."""
+    return articles.select("row_idx", F.size("images").cast("long").alias("n")).filter(F.col("n") >= least)
+
+
+def sample_rows(articles: DataFrame, rows: int) -> DataFrame:
+    """What the first, middle and last row hold."""
+    probes = sorted({0, rows // 2, max(0, rows - 1)})
+    chosen = articles.filter(F.col("row_idx").isin(probes))
+    title = F.col("title") if "title" in articles.columns else F.lit(None).cast("string")
+    return chosen.select("row_idx", "id", title.alias("title"), F.greatest(F.size("images"), F.lit(0)).alias("n_images"), F.char_length("content").alias("n_chars"), text.first_heading(F.col("content")).alias("heading")).orderBy("row_idx")
+
+
 def verify(articles: DataFrame, expected: DataFrame | None = None, decoder: images.Decoder | None = None, cap: int = 400, short: int = 40) -> dict:
     """The second stage's gate report; ``failures`` is empty if it passes."""
     n = F.greatest(F.size("images"), F.lit(0))
     counts = stats.image_counts(articles, n).first()
     failures, warnings = [], []
     if not counts["rows"]:
-        failures.append("dataset has zero rows")
+        failures.append("the table is empty")
     lengths = stats.content_lengths(articles, F.col("content"), short).first()
     empty = F.coalesce(F.char_length("content"), F.lit(0)) == 0
     brief = ~empty & (F.char_length("content") < short)
@@ -124,6 +149,9 @@ def verify(articles: DataFrame, expected: DataFrame | None = None, decoder: imag
         if count:
             shown = ", ".join(f"{r['row_idx']}={r['id']}" for r in stats.first_rows(articles, which).collect())
             warnings.append(f"{what}-content rows: {count} (first: {shown})")
+    if counts["most"] >= LARGE:
+        large = large_rows(articles)
+        warnings.append(f"rows of {LARGE} images or more: {large.count()}, the largest has {counts['most']}")
     aligned = [f"row {r['row_idx']} (id={r['id']}): {r['message']} ({r['rule']})" for r in list_rule(articles).unionByName(alignment_rule(articles)).orderBy("row_idx").limit(100).collect()]
     sample = sampled_images(articles, cap)
     checked = sample.count()
@@ -152,6 +180,7 @@ def verify(articles: DataFrame, expected: DataFrame | None = None, decoder: imag
         "corrupt_or_missing_images": bad,
         "non_color_modes": modes,
         "align_failures": aligned,
+        "sample_rows": [r.asDict() for r in sample_rows(articles, counts["rows"]).collect()],
         "determinism_check": determinism,
         "warnings": warnings,
         "failures": failures + aligned,

@@ -47,39 +47,92 @@ def encode_png(pixels: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows.tobytes(), PNG_LEVEL)) + chunk(b"IEND", b"")
 
 
+#: Channels of a PNG pixel by colour type: grey, colour, palette, grey with alpha, colour with alpha.
+_CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
+
+
+def _unfiltered(raw: np.ndarray, step: int) -> np.ndarray:
+    """Rows of a PNG without their filters; ``step`` bytes are a pixel.
+
+    A byte depends on those of the pixels to the left, above, and above to the left, so
+    all pixels on a diagonal are made at once.
+    """
+    kinds, height, width = raw[:, 0].astype(int), len(raw), (raw.shape[1] - 1) // step
+    if (kinds > 4).any():
+        raise ValueError("unknown PNG filter")
+    body = raw[:, 1:].reshape(height, width, step).astype(np.int16)
+    out = np.zeros((height + 1, width + 1, step), np.int16)
+    for diagonal in range(height + width - 1):
+        y = np.arange(max(0, diagonal - width + 1), min(height, diagonal + 1))
+        x, kind = diagonal - y, kinds[y][:, None]
+        left, up, corner = out[y + 1, x], out[y, x + 1], out[y, x]
+        to_left, to_up, to_corner = np.abs(up - corner), np.abs(left - corner), np.abs(left + up - 2 * corner)
+        paeth = np.where((to_left <= to_up) & (to_left <= to_corner), left, np.where(to_up <= to_corner, up, corner))
+        guess = np.where(kind == 1, left, np.where(kind == 2, up, np.where(kind == 3, (left + up) >> 1, np.where(kind == 4, paeth, 0))))
+        out[y + 1, x + 1] = (body[y, x] + guess) & 255
+    return out[1:, 1:].astype(np.uint8).reshape(height, width * step)
+
+
 def decode_png(data: bytes) -> np.ndarray:
-    """Pixels of an 8-bit, non-interlaced RGB or RGBA PNG."""
+    """RGB or RGBA pixels of a non-interlaced PNG; grey and palette images become RGBA, 16 bits become 8."""
     if data[:8] != b"\x89PNG\r\n\x1a\n":
         raise ValueError("not a PNG")
     parts = list(_png_chunks(data))
-    head = next((b for k, b in parts if k == b"IHDR"), b"")
+    named = {k: b for k, b in reversed(parts)}
+    head = named.get(b"IHDR", b"")
     if len(head) != 13:
         raise ValueError("PNG without header")
     width, height, bits, colour, _, _, interlaced = struct.unpack(">IIBBBBB", head)
-    if bits != 8 or colour not in (2, 6) or interlaced or width * height > MAX_PIXELS or not width * height:
+    channels = _CHANNELS.get(colour)
+    deep = (1, 2, 4, 8) if colour == 3 else (1, 2, 4, 8, 16) if colour == 0 else (8, 16)
+    if channels is None or bits not in deep or interlaced or width * height > MAX_PIXELS or not width * height:
         raise ValueError("unsupported PNG")
-    depth = 3 if colour == 2 else 4
-    raw = np.frombuffer(zlib.decompress(b"".join(b for k, b in parts if k == b"IDAT")), np.uint8).reshape(height, 1 + width * depth)
-    out = np.zeros((height, width * depth), np.int64)
-    for y in range(height):
-        kind, line, above = int(raw[y, 0]), raw[y, 1:].astype(np.int64), out[y - 1] if y else np.zeros(width * depth, np.int64)
-        if kind == 0:
-            out[y] = line
-        elif kind == 2:
-            out[y] = (line + above) & 255
-        else:
-            for x in range(width * depth):
-                left, up = out[y, x - depth] if x >= depth else 0, above[x]
-                corner = above[x - depth] if x >= depth else 0
-                if kind == 1:
-                    guess = left
-                elif kind == 3:
-                    guess = (left + up) // 2
-                else:
-                    p = left + up - corner
-                    guess = min((abs(p - left), 0, left), (abs(p - up), 1, up), (abs(p - corner), 2, corner))[2]
-                out[y, x] = (line[x] + guess) & 255
-    return out.astype(np.uint8).reshape(height, width, depth)
+    row = -(-width * channels * bits // 8)
+    raw = np.frombuffer(zlib.decompress(b"".join(b for k, b in parts if k == b"IDAT")), np.uint8).reshape(height, 1 + row)
+    plain = _unfiltered(raw, max(1, channels * bits // 8))
+    if bits == 16:
+        plain = plain[:, ::2]
+    elif bits < 8:
+        digits = np.unpackbits(plain, axis=1).reshape(height, -1, bits) @ (1 << np.arange(bits)[::-1])
+        plain = digits[:, : width * channels].astype(np.uint8)
+    pixels, see_through = plain.reshape(height, width, channels), named.get(b"tRNS", b"")
+    if colour in (2, 6):
+        return pixels
+    if colour == 3:
+        palette = np.zeros((256, 4), np.uint8)
+        palette[:, 3] = 255
+        entries = np.frombuffer(named[b"PLTE"], np.uint8).reshape(-1, 3)
+        palette[: len(entries), :3] = entries
+        palette[: len(see_through), 3] = np.frombuffer(see_through, np.uint8)
+        return palette[pixels[:, :, 0]]
+    grey, alpha = pixels[:, :, :1], pixels[:, :, 1:]
+    if colour == 0:
+        key = struct.unpack(">H", see_through)[0] >> (8 if bits == 16 else 0) if see_through else -1
+        alpha = np.where(grey == key, 0, 255).astype(np.uint8)
+        grey = (grey.astype(int) * 255 // ((1 << min(bits, 8)) - 1)).astype(np.uint8)
+    return np.concatenate([grey, grey, grey, alpha], axis=2)
+
+
+def decode_bmp(data: bytes) -> np.ndarray:
+    """RGB pixels of an uncompressed BMP of 8, 24 or 32 bits."""
+    if data[:2] != b"BM" or len(data) < 54:
+        raise ValueError("not a BMP")
+    (start,) = struct.unpack("<I", data[10:14])
+    size, width, height, _, bits, packed = struct.unpack("<IiiHHI", data[14:34])
+    rows, row = abs(height), (width * bits + 31) // 32 * 4
+    if bits not in (8, 24, 32) or packed not in (0, 3) or width <= 0 or not rows or width * rows > MAX_PIXELS:
+        raise ValueError("unsupported BMP")
+    body = np.frombuffer(data, np.uint8, rows * row, start).reshape(rows, row)[:, : width * bits // 8]
+    if bits == 8:
+        table = np.frombuffer(data[14 + size : start], np.uint8).reshape(-1, 4)[:, 2::-1]
+        pixels = table[body]
+    else:
+        pixels = body.reshape(rows, width, bits // 8)[:, :, 2::-1]
+    return np.ascontiguousarray(pixels if height < 0 else pixels[::-1])
+
+
+def decode_pixels(data: bytes) -> np.ndarray:
+    return decode_bmp(data) if data[:2] == b"BM" else decode_png(data)
 
 
 def resize(pixels: np.ndarray, width: int, height: int) -> np.ndarray:
@@ -101,15 +154,15 @@ def target_size(width: int, height: int, cap: int) -> tuple[int, int, bool]:
 
 
 class PngDecoder:
-    """Needs no image library: 8-bit RGB and RGBA PNG only; everything else counts as undecodable."""
+    """Needs no image library: PNG that is not interlaced, and uncompressed BMP; everything else counts as undecodable."""
 
     def normalise(self, data: bytes, max_edge: int, keep_frames: bool) -> tuple[bytes, bool, bool]:
-        pixels = decode_png(data)
+        pixels = decode_pixels(data)
         width, height, down = target_size(pixels.shape[1], pixels.shape[0], max_edge)
         return encode_png(resize(pixels, width, height) if down else pixels), False, down
 
     def probe(self, data: bytes) -> tuple[int, int, str, int]:
-        pixels = decode_png(data)
+        pixels = decode_pixels(data)
         return pixels.shape[1], pixels.shape[0], "RGB" if pixels.shape[2] == 3 else "RGBA", 1
 
 

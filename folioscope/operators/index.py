@@ -66,7 +66,7 @@ def encode_rows(encoder, texts: list[str] | None, pictures: list | None, batch:
 
 
 def encode(articles: DataFrame, encoder, modality: str = "image_text", strategy: str = "primary", cell: int = 512, batch: int = 8) -> DataFrame:
-    """(row_idx, id, embedding, part_id) of articles that have ``part_id``."""
+    """(row_idx, id, embedding, part_id, batch) of articles that have ``part_id``; batch is the smallest that their task had to use."""
     dim = encoder.dim
     pictures = F.transform("images", lambda i: i["bytes"]) if modality != "text" else F.lit(None).cast("array<binary>")
     chosen = articles.select("row_idx", "id", row_text().alias("input"), pictures.alias("pictures"), F.col("part_id").cast("int"))
@@ -75,10 +75,15 @@ def encode(articles: DataFrame, encoder, modality: str = "image_text", strategy:
         for rows in batches:
             texts = rows.column(2).to_pylist() if modality != "image" else None
             slots = [images.row_image(p or [], strategy, cell) for p in rows.column(3).to_pylist()] if modality != "text" else None
-            made, _ = encode_rows(encoder, texts, slots, batch, dim)
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(made, pa.list_(pa.float32())), rows.column(4)], ["row_idx", "id", "embedding", "part_id"])
+            made, used = encode_rows(encoder, texts, slots, batch, dim)
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(made, pa.list_(pa.float32())), rows.column(4), pa.array([used] * rows.num_rows, pa.int32())], ["row_idx", "id", "embedding", "part_id", "batch"])
 
-    return chosen.mapInArrow(run, INDEX_SCHEMA)
+    return chosen.mapInArrow(run, INDEX_SCHEMA + ", batch int")
+
+
+def effective_batch(spark: SparkSession, folder: str, batch: int) -> int:
+    """The smallest batch that any part was encoded with."""
+    return spark.read.schema(INDEX_SCHEMA + ", batch int").parquet(folder).agg(F.min("batch")).first()[0] or batch
 
 
 def with_parts(rows: DataFrame, part_rows: int = 128) -> DataFrame:
@@ -162,7 +167,7 @@ def open_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INDEX_SCHEMA).parquet(_space(path, progress["config_key"]))
 
 
-def build_or_resume(articles: DataFrame, encoder, path: str, part_rows: int = 128, modality: str = "image_text", strategy: str = "primary", cell: int = 512, batch: int = 8, force: bool = False, parts_per_wave: int = 64, config: dict | None = None) -> dict:
+def build_or_resume(articles: DataFrame, encoder, path: str, part_rows: int = 128, modality: str = "image_text", strategy: str = "primary", cell: int = 512, batch: int = 8, force: bool = False, parts_per_wave: int = 1024, config: dict | None = None) -> dict:
     """Reuse a finished index of this configuration, resume a partial one, or build; returns loop stats."""
     spark, began = articles.sparkSession, time.perf_counter()
     rows = articles.count()
@@ -188,7 +193,9 @@ def build_or_resume(articles: DataFrame, encoder, path: str, part_rows: int = 12
     write_progress(path, document)
     for at in range(0, len(todo), parts_per_wave):
         wave = todo[at : at + parts_per_wave]
-        chosen = parts.filter(F.col("part_id").between(wave[0], wave[-1]) & F.col("part_id").isin(wave)).repartition("part_id").sortWithinPartitions("row_idx")
+        # A range of row numbers is what a Parquet reader can skip row groups by.
+        near = parts.filter(F.col("row_idx").between(wave[0] * part_rows, (wave[-1] + 1) * part_rows - 1))
+        chosen = near.filter(F.col("part_id").isin(wave)).repartition("part_id").sortWithinPartitions("row_idx")
         made = encode(chosen, encoder, modality, strategy, cell, batch)
         made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part_id").parquet(folder)
         document["completed_parts"] = done + at + len(wave)
@@ -197,7 +204,8 @@ def build_or_resume(articles: DataFrame, encoder, path: str, part_rows: int = 12
         check(spark.read.schema(INDEX_SCHEMA).parquet(folder), rows, encoder.dim)
     wall = round(time.perf_counter() - began, 1)
     write_progress(path, document | {"status": "finalized", "finished_utc": _now(), "wall_seconds": wall})
-    return result | {"resumed_parts": done, "wall_seconds": wall, "bytes": _bytes(folder)}
+    least = effective_batch(spark, folder, batch) if rows else batch
+    return result | {"resumed_parts": done, "wall_seconds": wall, "bytes": _bytes(folder), "effective_batch": least, "oom_halvings": max(0, (max(1, batch) // least).bit_length() - 1)}
 
 
 def _now() -> str:

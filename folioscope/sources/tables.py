@@ -56,9 +56,6 @@ def write_shards(articles: DataFrame, out: str, shard_rows: int = 256) -> list[s
     shutil.rmtree(staging, ignore_errors=True)
     numbered = articles.withColumn("shard", F.floor(F.col("row_idx") / shard_rows).cast("int"))
     numbered.repartition("shard").sortWithinPartitions("shard", "row_idx").write.partitionBy("shard").parquet(staging)
-    for name in os.listdir(out):
-        if name.endswith(".parquet") or name == "dataset_info.json":
-            os.remove(os.path.join(out, name))
     written = []
     for folder in os.listdir(staging):
         if number := re.fullmatch(r"shard=(\d+)", folder):
@@ -66,6 +63,10 @@ def write_shards(articles: DataFrame, out: str, shard_rows: int = 256) -> list[s
             path = os.path.join(out, f"train-{int(number[1]):05d}-of-{total:05d}.parquet")
             os.replace(os.path.join(staging, folder, part), path)
             written.append(path)
+    for name in os.listdir(out):  # only now is nothing lost
+        path = os.path.join(out, name)
+        if path not in written and (name.endswith(".parquet") or name == "dataset_info.json"):
+            os.remove(path)
     shutil.rmtree(staging)
     write_card(out)
     return sorted(written)

@@ -90,6 +90,8 @@ def test_gates(spark, build):
     assert [(r["rule"], r["id"]) for r in found] == [("C1", "_u")]
     assert [r["rule"] for r in gates.hard_gate(build.articles, build.flagged, 9, images.PngDecoder()).collect()].count("rows") == 1
     broken = build.articles.withColumn("images", F.when(F.col("id") == "a", F.slice("images", 1, 1)).when(F.col("id") == "root", F.lit(None)).otherwise(F.col("images")))
+    nulls = build.articles.withColumn("images", F.transform("images", lambda i: F.when(F.lit(False), i)))
+    assert [r["id"] for r in gates.round_trip_rule(nulls).orderBy("id").collect()] == ["a", "a/b"] and gates.round_trip_rule(build.articles).count() == 0
     rules = {(r["rule"], r["id"]) for r in gates.handoff_gate(broken, build.flagged, 100).collect()}
     assert {("C4", "a"), ("C2", "root"), ("C1", "_u")} <= rules
     grey = build.articles.withColumn("images", F.transform("images", lambda i: F.struct(F.lit(b"x").alias("bytes"), F.lit(None).cast("string").alias("path"))))
@@ -102,6 +104,7 @@ def test_verification(build):
     assert said["rows"] == 8 and said["images_total"] == 4 and said["images_sample_checked"] == 4
     assert said["determinism_check"] == "rederived" and said["histogram"]["2"] == 2
     assert [f for f in said["failures"] if "_u" not in f] == []
+    assert [r["row_idx"] for r in said["sample_rows"]] == [0, 4, 7] and gates.large_rows(build.articles, 2).count() == 2
     other = ids.withColumn("id", F.when(F.col("row_idx") == 3, "other").otherwise(F.col("id")))
     assert any("differs first at row 3" in f for f in gates.verify(build.articles, other, images.PngDecoder())["failures"])
 
@@ -158,6 +161,7 @@ def test_index_is_resumed_reused_and_rebuilt(spark, tmp_path):
     said = index.build_or_resume(rows, Flaky(), path, modality="text")
     assert said["resumed_parts"] == 2 and index.shape(index.open_index(spark, path)) == (300, 64, 64, True)
     assert sorted(r["rows"] for r in index.committed(spark, said["embed_file"], 64).collect()) == [44, 128, 128]
+    assert (said["effective_batch"], said["oom_halvings"]) == (2, 2)
     assert index.build_or_resume(rows, Flaky(), path, modality="text")["reused_existing"]
     changed = index.build_or_resume(rows, Flaky(), path, part_rows=100, modality="text")
     assert not changed["reused_existing"] and changed["embed_file"] != said["embed_file"]
@@ -199,6 +203,65 @@ def test_png_filters_round_trip():
     assert (images.decode_png(data) == pixels).all()
 
 
+def packed_png(width, height, bits, colour, rows, extra=b""):
+    import struct
+    import zlib
+
+    chunk = lambda k, b: struct.pack(">I", len(b)) + k + b + struct.pack(">I", zlib.crc32(k + b))
+    body = b"".join(b"\0" + r for r in rows)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, bits, colour, 0, 0, 0)) + extra + chunk(b"IDAT", zlib.compress(body)) + chunk(b"IEND", b""), chunk
+
+
+def test_png_colour_types_and_bmp():
+    _, chunk = packed_png(1, 1, 8, 0, [b"\0"])
+    palette = chunk(b"PLTE", bytes([1, 2, 3, 9, 8, 7])) + chunk(b"tRNS", bytes([0]))
+    made = images.decode_png(packed_png(3, 1, 1, 3, [bytes([0b01000000])], palette)[0])
+    assert made.tolist() == [[[1, 2, 3, 0], [9, 8, 7, 255], [1, 2, 3, 0]]]
+    assert images.decode_png(packed_png(2, 1, 4, 0, [bytes([0x0F])])[0]).tolist() == [[[0, 0, 0, 255], [255, 255, 255, 255]]]
+    assert images.decode_png(packed_png(1, 1, 16, 2, [bytes([5, 1, 6, 1, 7, 1])])[0]).tolist() == [[[5, 6, 7]]]
+    assert images.decode_png(packed_png(1, 1, 8, 4, [bytes([5, 9])])[0]).tolist() == [[[5, 5, 5, 9]]]
+    head = b"BM" + (54 + 16).to_bytes(4, "little") + bytes(4) + (54).to_bytes(4, "little")
+    info = (40).to_bytes(4, "little") + (2).to_bytes(4, "little") + (2).to_bytes(4, "little") + b"\1\0\x18\0" + bytes(24)
+    bmp = head + info + bytes([1, 2, 3, 4, 5, 6, 0, 0, 7, 8, 9, 10, 11, 12, 0, 0])
+    assert images.decode_bmp(bmp).tolist() == [[[9, 8, 7], [12, 11, 10]], [[3, 2, 1], [6, 5, 4]]]
+    assert images.PngDecoder().probe(bmp)[:3] == (2, 2, "RGB") and images.decode_png(images.PngDecoder().normalise(bmp, 0, False)[0]).shape == (2, 2, 3)
+    for broken in (packed_png(1, 1, 16, 3, [b"\0\0"])[0], b"BM" + bytes(60), b"GIF89a"):
+        with pytest.raises(Exception):
+            images.decode_pixels(broken)
+
+
+def test_unreadable_articles_leave_no_gap_and_images_are_decoded_once(spark, tmp_path):
+    for name, body in (("a", b"\xff"), ("b", b"# B\n\n![x](../x.png) words enough to be content of an article"), ("c", b"\xfe"), ("d", b"![x](../x.png) words enough to be content of an article")):
+        (tmp_path / "in" / name).mkdir(parents=True)
+        (tmp_path / "in" / name / "index.mdx").write_bytes(body)
+    (tmp_path / "in/x.png").write_bytes(png(4, 4))
+    seen = tmp_path / "seen"
+
+    class Counting(images.PngDecoder):
+        def normalise(self, data, max_edge, keep_frames):
+            with open(seen, "a") as file:
+                file.write("x")
+            return super().normalise(data, max_edge, keep_frames)
+
+    built = articles.build_articles(spark, str(tmp_path / "in"), Counting())
+    out = tmp_path / "out"
+    out.mkdir()
+    written = tables.write_shards(built.articles, str(out), 1)
+    assert [os.path.basename(w) for w in written] == ["train-00000-of-00002.parquet", "train-00001-of-00002.parquet"]
+    reports.build_report(str(out), built, [], [], 1.0)
+    assert stats.counters(built)["failed"] == 2 and seen.read_text() == "x"
+    assert [tuple(r) for r in tables.read_articles(spark, f"{out}/*.parquet").select("row_idx", "id").orderBy("row_idx").collect()] == [(0, "b"), (1, "d")]
+
+
+def test_order_check_sees_missing_and_extra_rows(spark):
+    rows = lambda *own: spark.createDataFrame([(k, x) for k, x in own], "row_idx long, id string")
+    expected = rows((0, "a"), (1, "b"), (2, "c"))
+    check = lambda found: [tuple(r) for r in gates.first_divergence(found, expected).collect()]
+    assert check(rows((0, "a"), (1, "b"))) == [] and check(expected) == []
+    assert check(rows((0, "a"), (2, "c"))) == [(1, "b", None)]
+    assert check(rows((0, "a"), (1, "b"), (2, "c"), (3, "d"))) == [(3, None, "d")]
+
+
 def test_retrieval_and_smoke(spark, build, tmp_path):
     rows = build.articles.filter("content <> ''")
     encoder = encoders.HashEncoder()
