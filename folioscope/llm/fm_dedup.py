@@ -4,8 +4,9 @@ Windows of ``WINDOW`` words that may be repeated are found and dealt to shards b
 their anchors (see ``anchors.py``); all places of a window are in one shard. A
 shard's contexts are indexed: their words become symbols, a suffix array to the
 depth of a window gives the Burrows-Wheeler transform, which is kept as a wavelet
-matrix of packed bits with sampled counts, and a bit vector marks where suffixes
-differ within a window's depth. Each context is then streamed through the index
+matrix of packed bits with sampled counts; the suffix array itself and the interval
+that each suffix shares with those that agree with it for a window are plain arrays,
+bounded by the shard. Each context is then streamed through the index
 from its end: a step of backward search extends the match by a word, and beyond a
 window's length the interval is widened to the suffixes that share a window. The
 matching statistics so capped at ``WINDOW`` give for every start the interval of

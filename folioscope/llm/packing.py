@@ -176,13 +176,21 @@ def combinations(units: int, depth: int = DEPTH) -> np.ndarray:
     return columns
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Lawson and Hanson's active-set solution of min |ax - b| over x >= 0."""
+def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Lawson and Hanson's active-set solution of min |ax - b| over x >= 0.
+
+    Each round frees the variable that helps most and lessens the residual, so no set of
+    free variables comes back; it ends when none helps, or when rounding lets none.
+    """
     x, active = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
     tolerance = 1e-9 * max(1.0, float(np.abs(a.T @ b).max(initial=0)))
-    for _ in range(rounds):
+    residual = np.inf
+    while True:
         gradient = a.T @ (b - a @ x)
         gradient[active] = -np.inf
+        before, residual = residual, float(np.linalg.norm(b - a @ x))
+        if residual >= before:
+            break
         k = int(np.argmax(gradient)) if len(gradient) else 0
         if not len(gradient) or gradient[k] <= tolerance:
             break

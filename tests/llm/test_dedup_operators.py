@@ -101,6 +101,15 @@ def test_line_dedup_keeps_one_of_repeated_rows(spark):
     assert sorted(x["n_removed"] for x in line_dedup.line_dedup(df).collect()) == [0, 0, 3]
 
 
+def test_line_and_exact_dedup_of_long_texts_and_clashing_columns(spark):
+    long = "\n".join(f"line {k}" for k in range(40_000))
+    rows = [(1, long), (2, "head\n" + long), (3, "é" * 300_000), (4, "é" * 300_000 + " "), (5, "é" * 300_000)]
+    df = spark.createDataFrame([(*x, 1, 2) for x in rows], "doc_id long, text string, lines int, pos int").selectExpr("*", "3 AS runs", "4 AS recipe", "5 AS body", "6 AS found")
+    found = {x["doc_id"]: (x["n_lines"], x["n_removed"], x["kept_text"][:4]) for x in line_dedup.line_dedup(df).collect()}
+    assert found[1][:2] == (40_000, 0) and found[2] == (40_001, 40_000, "head")
+    assert {x["doc_id"]: x["keep_id"] for x in exact_dedup.exact_dedup(df).collect()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 3}
+
+
 def slow_fingerprint(text):
     words = (text or "").translate({c: c + 32 for c in range(65, 91)})
     words = re.findall(r"[^\x20\x09-\x0d]+", words)

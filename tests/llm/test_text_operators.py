@@ -92,6 +92,25 @@ def test_plan_wastes_little_on_the_lengths_of_texts(mean):
     assert sequences <= 1.01 * fill / 4096 + 1
 
 
+def test_nnls_ends_at_an_optimum():
+    for seed in range(4):
+        g = np.random.default_rng(seed)
+        a, b = packing.combinations(64), g.integers(0, 2000, 63).astype(float)
+        x = packing.nnls(a, b)
+        slope = a.T @ (b - a @ x)
+        assert (x >= 0).all() and slope.max() < 1e-3 * np.abs(a.T @ b).max() and np.abs(slope[x > 1e-9]).max(initial=0) < 1e-3 * np.abs(a.T @ b).max()
+
+
+def test_odd_columns_and_repeated_rows_of_tokenising_operators(spark):
+    rows = [(1, "a b, c"), (1, "a b, c"), (None, "x" * 200_000), (2, None), (3, "")]
+    df = spark.createDataFrame([(*x, 5, "y") for x in rows], "doc_id long, text string, ids int, length string").selectExpr("*", "1 AS part", "2 AS rank", "3 AS n")
+    encoded = byte_bpe.decode(byte_bpe.encode(df)).collect()
+    assert sorted(bytes(x["decoded"]).decode() for x in encoded) == sorted(t or "" for _, t in rows)
+    packed = packing.pack_documents(df).collect()
+    assert sum(x["doc_id"] == 1 and x["start"] == 0 for x in packed) == 2 and sum(x["doc_tokens"] == 1 for x in packed) == 2
+    assert len({(x["sequence_id"], x["offset"]) for x in packed}) == len(packed)
+
+
 def test_nnls_matches_a_known_solution():
     g = np.random.default_rng(0)
     a = g.random((30, 12))
