@@ -115,9 +115,8 @@ def clean_prose(text: str) -> str:
 
 def clean(body: str) -> str:
     """Markdown content of a body: prose cleaned, fences verbatim, comments gone."""
-    parts = [clean_prose(t) if kind == "text" else t.rstrip("\n") for kind, t in chunks(body) if kind != "comment"]
-    kinds = [kind for kind, _ in chunks(body) if kind != "comment"]
-    return "\n\n".join(p for p, kind in zip(parts, kinds) if p or kind == "fence").strip()
+    parts = [(kind, clean_prose(t) if kind == "text" else t.rstrip("\n")) for kind, t in chunks(body) if kind != "comment"]
+    return "\n\n".join(p for kind, p in parts if p or kind == "fence").strip()
 
 
 def effective_body(body: str) -> str:

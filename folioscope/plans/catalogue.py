@@ -158,11 +158,9 @@ def dim_check(spark, sf):
     "SELECT round(min(top) FILTER (kind = 'in-domain'), 6) AS in_domain_top1, round(max(top) FILTER (kind = 'out-of-domain'), 6) AS out_of_domain_top1, coalesce(max(top) FILTER (kind = 'out-of-domain') < min(top) FILTER (kind = 'in-domain'), false) AS passed FROM s"
 )
 def smoke_verdict(spark, sf):
-    labels = vectors_of(spark, sf)
-    probes = labels.filter("row_idx % 100 = 0").select(F.col("row_idx").alias("query_id"), F.col("label").alias("asked"), F.col("embedding").alias("v"))
-    pairs = labels.crossJoin(probes).filter("row_idx <> query_id")
-    kind = F.when(F.col("label") == F.col("asked"), "in-domain").otherwise("out-of-domain")
-    tops = pairs.groupBy("query_id", kind.alias("kind")).agg(F.max(vectors.cosine(F.col("embedding"), F.col("v"))).alias("top1_score"))
+    labelled = vectors_of(spark, sf).select("row_idx", "label", vectors.doubles(F.col("embedding")).alias("v"))
+    probes = labelled.filter("row_idx % 100 = 0").withColumnRenamed("row_idx", "query_id")
+    tops = retrieval.best_by_kind(labelled, probes)
     return retrieval.verdict(tops).select(F.round("in_domain_top1", 6).alias("in_domain_top1"), F.round("out_of_domain_top1", 6).alias("out_of_domain_top1"), "passed")
 
 
@@ -226,11 +224,12 @@ def order_prefix_check(spark, sf):
     return gates.first_divergence(rows, expected)
 
 
-@query("SELECT doc_id, source FROM documents WHERE doc_id IN (0, (SELECT count(*) // 2 FROM documents), (SELECT count(*) - 1 FROM documents))")
+@query("SELECT doc_id AS row_idx, source AS id, NULL AS title, 0 AS n_images, length(coalesce(text, ''))::INT AS n_chars, 'Doc ' || doc_id AS heading FROM documents WHERE doc_id IN (0, (SELECT count(*) // 2 FROM documents), (SELECT count(*) - 1 FROM documents))")
 def sample_rows(spark, sf):
-    rows = documents(spark, sf).select("doc_id", "source")
-    n = rows.count()
-    return rows.filter(F.col("doc_id").isin(sorted({0, n // 2, n - 1})))
+    rows = documents(spark, sf)
+    headed = rows.select(F.col("doc_id").alias("row_idx"), F.col("source").alias("id"), F.concat(F.lit("# Doc "), F.col("doc_id").cast("string"), F.lit("\n"), F.col("text")).alias("content"), F.array().cast("array<string>").alias("images"))
+    found = gates.sample_rows(headed, rows.count())
+    return found.withColumn("n_chars", F.col("n_chars") - F.char_length("heading") - 3)
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id < 100")
@@ -266,7 +265,7 @@ def image_count_stats(spark, sf):
 
 @query(f"{_TURNS} SELECT conv_id AS row_idx, n FROM c WHERE n >= 5")
 def large_rows(spark, sf):
-    return ragged(spark, sf).select("row_idx", F.size("images").cast("long").alias("n")).filter("n >= 5")
+    return gates.large_rows(ragged(spark, sf), 5)
 
 
 @query("WITH r AS (SELECT conv_id AS row_idx, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS pos, row_number() OVER (ORDER BY conv_id, turn, role, text) - 1 AS k, turn || ':' || role AS ref FROM conversations), n AS (SELECT greatest(1, (count(*) + 399) // 400) AS stride FROM conversations) SELECT row_idx, pos::INT AS pos, ref FROM r, n WHERE k % stride = 0")
@@ -420,9 +419,9 @@ def whitespace_tidy(spark, sf):
     return prose(spark, sf).select("doc_id", F.md5(markdown.native_tidy(F.col("prose"))).alias("md"))
 
 
-@query("SELECT doc_id, 'apropstail' AS md FROM documents")
+@query(f"SELECT doc_id, md5({_PROSE} || ' tail') AS md FROM documents")
 def props_tail(spark, sf):
-    return documents(spark, sf).select("doc_id", markdown.native_without_props(F.lit("aprops-{props.x.y}>tail")).alias("md"))
+    return prose(spark, sf).select("doc_id", F.md5(markdown.native_without_props(F.concat("prose", F.lit("-{props.x.y}> tail")))).alias("md"))
 
 
 # Derived articles
@@ -505,6 +504,213 @@ def metadata_json(spark, sf):
     return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.array_join(F.json_object_keys("props"), ",").alias("names"))
 
 
+# Articles of several shapes
+
+_N = "doc_id::VARCHAR"
+#: By doc_id modulo 5: a block of markup, what cleaning leaves of it in the prose before, and what follows.
+_SHAPES = (
+    ("<Tabs id=\"t\"><Tab>inner {n}</Tab></Tabs>", "<Tab>inner {n}</Tab>", ""),
+    ("x <!-- one line --> y {n}", "x", "\n\n y {n}"),
+    ("~~~\n<X />\n  ~~~\nafter {n}", "", "\n\n~~~\n<X />\n  ~~~\n\nafter {n}"),
+    ("<B>bold {n}</B> and <br/>line", "bold {n} and\nline", ""),
+    ("<a href=\"u/{n}\"><b>t</b></a>\n{note}\nend", "[**t**](u/{n})\nend", ""),
+)
+
+
+def _by_shape(k: int) -> Column:
+    n = F.col("doc_id").cast("string")
+    cases = [F.replace(F.lit(shape[k]), F.lit("{n}"), n) for shape in _SHAPES]
+    return F.element_at(F.array(*cases), (F.col("doc_id") % 5 + 1).cast("int"))
+
+
+def _shape_sql(k: int) -> str:
+    return "(CASE doc_id % 5 " + " ".join(f"WHEN {i} THEN replace('" + shape[k].replace("\n", "' || chr(10) || '") + f"', '{{n}}', {_N})" for i, shape in enumerate(_SHAPES)) + " END)"
+
+
+_HEADED = "'# Doc ' || doc_id || chr(10) || chr(10) || coalesce(text, '') || chr(10) || chr(10)"
+
+
+@query(f"SELECT doc_id, md5(trim(regexp_replace(regexp_replace({_HEADED} || {_shape_sql(1)}, '[ \\t]+\\n', chr(10), 'g'), '\\n{{4,}}', chr(10) || chr(10) || chr(10), 'g'), chr(10)) || {_shape_sql(2)}) AS content FROM documents")
+def shaped_clean(spark, sf):
+    body = F.concat(F.lit("# Doc "), F.col("doc_id").cast("string"), F.lit("\n\n"), F.col("text"), F.lit("\n\n"), _by_shape(0))
+    return documents(spark, sf).select("doc_id", body.alias("body")).select("doc_id", F.md5(markdown.cleaned(F.col("body"))).alias("content"))
+
+
+@query("SELECT doc_id, CASE doc_id % 5 WHEN 1 THEN 'text,comment,text' WHEN 2 THEN 'text,fence,text' ELSE 'text' END AS kinds FROM documents")
+def shaped_chunks(spark, sf):
+    body = F.concat(F.col("text"), F.lit("\n\n"), _by_shape(0))
+    own = documents(spark, sf).select("doc_id", body.alias("body")).select("doc_id", markdown.tokenise(F.col("body")).alias("chunks"))
+    return own.select("doc_id", F.array_join(F.transform("chunks", lambda c: c["kind"]), ",").alias("kinds"))
+
+
+@query(
+    "WITH r AS (SELECT doc_id, source, unnest(['p_(' || doc_id || ').PNG', 'i/' || doc_id || '.jpg', '../up/' || doc_id || '.gif', '../../../' || doc_id || '.webp', 'x/' || doc_id || '.txt']) AS ref, "
+    "unnest([source || '/' || doc_id || '/p_(' || doc_id || ').PNG', source || '/' || doc_id || '/i/' || doc_id || '.jpg', source || '/up/' || doc_id || '.gif', doc_id || '.webp', source || '/' || doc_id || '/x/' || doc_id || '.txt']) AS resolved, unnest([true, true, true, true, false]) AS supported FROM documents) "
+    "SELECT doc_id, ref, resolved, supported FROM r"
+)
+def shaped_refs(spark, sf):
+    """References with titles, parentheses, steps above the root, templates, and other schemes; through the article's own reference rules."""
+    n = F.col("doc_id").cast("string")
+    links = ("![a](p_({n}).PNG)", "![b](i/{n}.jpg \"a title\")", "[![c](../up/{n}.gif)](big.png)", "![d]({{ x }}.png)", "![e](../../../{n}.webp 't')", "![f](x/{n}.txt)", "![g](/abs.png) ![h](data:x) ![i](#a)", "<!-- ![j](gone.png) -->")
+    body = F.concat("text", F.lit("\n\n"), F.replace(F.lit("\n".join(links)), F.lit("{n}"), n))
+    own = documents(spark, sf).select("doc_id", F.col("doc_id").alias("row_idx"), F.concat_ws("/", "source", n, F.lit("index.mdx")).alias("rel_path"), n.alias("id"), body.alias("body")).withColumn("dests", markdown.dests(F.col("body")))
+    found = articles.references(own)
+    return found.select(F.col("row_idx").alias("doc_id"), F.col("original_ref").alias("ref"), "resolved", refs.supported(F.col("resolved")).alias("supported"))
+
+
+_BYTES = "doc_id % 10 = 3"
+
+
+@query(
+    f"WITH r AS (SELECT doc_id, source || '/' || doc_id AS base, {_BYTES} AS broken FROM documents) SELECT doc_id AS row_idx, base AS id, NOT broken AS readable, CASE WHEN NOT broken THEN base END AS title, CASE WHEN NOT broken THEN 1 END AS n_dests FROM r"
+)
+def parsed_articles(spark, sf):
+    """Articles from bytes, every tenth of them no UTF-8: ids, front matter and targets of the first stage."""
+    own = mdx(spark, sf)
+    name = F.concat_ws("/", "source", F.col("doc_id").cast("string"))
+    body = F.concat(F.lit("---\ntitle: "), name, F.lit("\n---\n"), F.col("text"), F.lit("\n\n![a](b.png)\n")).cast("binary")
+    corpus = own.select(F.col("doc_id").alias("row_idx"), F.concat(name, F.lit("/index.mdx")).alias("rel_path"), F.col("source").alias("dir_name"), F.when(F.expr(_BYTES), F.concat(body, F.lit(bytearray(b"\xff")))).otherwise(body).alias("content"))
+    made = articles.parsed(corpus)
+    return made.select("row_idx", "id", F.col("text").isNotNull().alias("readable"), F.col("front.title").alias("title"), F.when(F.col("text").isNotNull(), F.size("dests")).alias("n_dests"))
+
+
+@query(f"SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) AS row_idx FROM documents WHERE NOT ({_BYTES})")
+def dense_rows(spark, sf):
+    rows = documents(spark, sf).select("doc_id", F.col("doc_id").alias("row_idx"))
+    return ids.dense(rows.filter(~F.expr(_BYTES)), rows.filter(F.expr(_BYTES)).select("row_idx"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR coalesce(text, '') = '' THEN source ELSE text END AS input FROM documents")
+def row_text(spark, sf):
+    own = documents(spark, sf).select("doc_id", F.col("source").alias("id"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text")).alias("content"), F.col("source").alias("text"))
+    return own.select("doc_id", index.row_text().alias("input"))
+
+
+@query("SELECT doc_id AS row_idx, 'row-' || doc_id AS id, NULL AS title, coalesce(text, '') AS content, 'row-' || doc_id AS source_path, 0 AS n_images FROM documents")
+def absent_columns(spark, sf):
+    view = tables.corpus_view(documents(spark, sf).select(F.col("doc_id").alias("row_idx"), "text"))
+    return view.select("row_idx", "id", "title", "content", "source_path", F.size("image_refs").alias("n_images"))
+
+
+# Reports and gates over whole tables
+
+def built(spark, sf) -> articles.Build:
+    """Documents as a build: in-scope references with their decoding results, flagged contents, and unreadable articles."""
+    own = referenced(spark, sf).withColumnRenamed("doc_id", "row_idx").withColumn("abs_path", F.when(F.col("reason").isNull(), F.col("abs_path")))
+    k = F.col("row_idx") % 7
+    good = F.col("reason").isNull()
+    every = own.withColumns({"error": F.when(good & (k == 4), "corrupt: x"), "png": F.when(good & (k != 4), F.lit(b"p")), "multi": good & (k == 1), "down": good & (k == 2)})
+    images_of = every.filter("png IS NOT NULL").groupBy("row_idx").agg(F.collect_list("png").alias("images"))
+    docs = documents(spark, sf).select(F.col("doc_id").alias("row_idx"), F.col("doc_id").cast("string").alias("id"), "text")
+    rows = docs.join(images_of, "row_idx", "left").withColumn("images", F.coalesce("images", F.array().cast("array<binary>")))
+    flagged = docs.select("id", articles.content_flag(F.col("text"), F.col("text")).alias("reason")).filter("reason IS NOT NULL")
+    failed = docs.filter("row_idx % 50 = 7").select(F.col("id").alias("article"), F.lit("x").alias("error"))
+    return articles.Build(rows, every, failed, every, flagged)
+
+
+_COUNTED = """WITH d AS (SELECT doc_id, doc_id % 7 AS k, length(trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13))) AS n FROM documents),
+c AS (SELECT count(*) AS converted, count(*) FILTER (doc_id % 50 = 7) AS failed, count(*) FILTER (k IN (0, 1, 2)) AS pictured, count(*) FILTER (k > 4) AS missing, count(*) FILTER (k = 4) AS corrupt, count(*) FILTER (k = 3) AS not_file, count(*) FILTER (n > 0 AND n < 40) AS flagged,
+  count(DISTINCT k) FILTER (k IN (0, 1, 2)) AS files, count(DISTINCT k) FILTER (k = 1) AS multi, count(DISTINCT k) FILTER (k = 2) AS down FROM d)"""
+
+
+@query(f"{_COUNTED} SELECT converted + failed AS articles_total, converted, failed, pictured AS rows_with_images, converted - pictured AS text_only_rows, pictured AS resolved_local_image_refs, files AS unique_image_files_embedded, missing AS missing_refs_dropped, corrupt AS corrupt_images_dropped, not_file AS not_file_dropped, 0 AS unsupported_ext_dropped, multi AS gif_flattened, down AS images_downscaled, 1 AS max_images_in_one_article, flagged FROM c")
+def build_counters(spark, sf):
+    counted = stats.counters(built(spark, sf))
+    names = ("articles_total", "converted", "failed", "rows_with_images", "text_only_rows", "resolved_local_image_refs", "unique_image_files_embedded", "missing_refs_dropped", "corrupt_images_dropped", "not_file_dropped", "unsupported_ext_dropped", "gif_flattened", "images_downscaled", "max_images_in_one_article")
+    return spark.createDataFrame([(*(int(counted[n]) for n in names), len(counted["warn_empty_content"]))], ", ".join(f"{n} long" for n in (*names, "flagged")))
+
+
+@query(f"{_COUNTED}, f AS (SELECT unnest(['failed=' || failed, 'missing_refs_dropped=' || missing, 'corrupt_images_dropped=' || corrupt, 'not_file_dropped=' || not_file]) AS failure FROM c) SELECT failure FROM f WHERE NOT ends_with(failure, '=0')")
+def strict_failures(spark, sf):
+    return spark.createDataFrame([(f,) for f in gates.strict_failures(stats.counters(built(spark, sf)))], "failure string")
+
+
+@query(f"{_TURNS}, h AS (SELECT n, count(*) AS rows, row_number() OVER (ORDER BY n) AS k, count(*) OVER () AS bins FROM c GROUP BY n) SELECT string_agg(n || ': ' || rows, ', ' ORDER BY n) FILTER (k <= 4) || CASE WHEN max(bins) > 4 THEN ', ... ' || max(n) || ': ' || arg_max(rows, n) ELSE '' END AS line FROM h")
+def compact_histogram(spark, sf):
+    counted = {r["n"]: r["rows"] for r in stats.exact_histogram(ragged(spark, sf), F.size("images")).collect()}  # a row per count
+    return spark.createDataFrame([(stats.compact_histogram(counted),)], "line string")
+
+
+class LengthProbe:
+    """A stand-in decoder for queries: an image's bytes are text, its mode and frames follow from their number."""
+
+    def probe(self, data: bytes) -> tuple[int, int, str, int]:
+        if len(data) % 11 == 0:
+            raise ValueError("undecodable")
+        return len(data), 1, "L" if len(data) % 7 == 0 else "RGB", 1 + (len(data) % 5 == 0)
+
+
+_PROBED = "CASE WHEN b = 0 THEN 'an image without content' WHEN b % 11 = 0 THEN 'undecodable' ELSE nullif(concat_ws('; ', CASE WHEN b % 7 = 0 THEN 'mode=L' END, CASE WHEN b % 5 = 0 THEN 'n_frames=2' END), '') END"
+_SLOTS = "SELECT conv_id AS row_idx, 'conv-' || conv_id AS id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1)::INT AS pos, strlen(coalesce(text, '')) AS b, role FROM conversations"
+
+
+@query(f"WITH s AS ({_SLOTS}), m AS (SELECT 'C3' AS rule, row_idx, id, pos, {_PROBED} AS message FROM s) SELECT * FROM m WHERE message IS NOT NULL")
+def image_check(spark, sf):
+    return gates.image_rule(ragged(spark, sf), LengthProbe())
+
+
+_BROKEN = f"s AS ({_SLOTS}), r AS (SELECT row_idx, id, count(*) AS a, count(*) FILTER (role = 'user') AS u FROM s GROUP BY ALL), t AS (SELECT conv_id AS row_idx, bool_and(trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13)) = '') AS blank FROM conversations GROUP BY ALL)"
+_ROW_RULES = (
+    "SELECT 'C1' AS rule, row_idx, id, NULL::INT AS pos, 'empty content without a flag' AS message FROM r JOIN t USING (row_idx) WHERE (blank OR row_idx % 4 = 1) AND row_idx % 8 <> 1 "
+    "UNION ALL SELECT 'C2', row_idx, id, NULL, 'images is null' FROM r WHERE row_idx % 9 = 2 "
+    "UNION ALL SELECT 'C4', row_idx, id, NULL, 'len(images)=' || CASE WHEN row_idx % 9 = 2 THEN 0 ELSE a END || ' != len(image_refs)=' || u FROM r WHERE CASE WHEN row_idx % 9 = 2 THEN 0 ELSE a END <> u"
+)
+
+
+def broken(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Conversations as articles with blank contents, null lists and lost references; and which are flagged."""
+    rows = ragged(spark, sf)
+    rows = rows.withColumns({
+        "content": F.when(F.col("row_idx") % 4 == 1, " ").otherwise(F.col("content")),
+        "images": F.when(F.col("row_idx") % 9 != 2, F.col("images")),
+        "image_refs": F.filter("image_refs", lambda r: r.endswith(":user")),
+    })
+    return rows, rows.filter("row_idx % 8 = 1").select("id")
+
+
+@query(f"WITH {_BROKEN}, g AS ({_ROW_RULES} UNION ALL SELECT 'rows', NULL, NULL, NULL, 'expected 1 rows, found ' || count(*) FROM r UNION ALL SELECT 'C3', row_idx, id, pos, {_PROBED} FROM s WHERE row_idx % 9 <> 2 AND {_PROBED} IS NOT NULL) SELECT * FROM g")
+def hard_gate(spark, sf):
+    rows, flagged = broken(spark, sf)
+    return gates.hard_gate(rows, flagged, 1, LengthProbe())
+
+
+@query(f"WITH {_BROKEN}, g AS ({_ROW_RULES}) SELECT * FROM g WHERE row_idx < 8")
+def handoff_gate(spark, sf):
+    return gates.handoff_gate(*broken(spark, sf))
+
+
+@query(
+    f"{_TURNS}, t AS (SELECT conv_id, string_agg(coalesce(text, ''), chr(10) ORDER BY turn, role, text) AS content FROM conversations GROUP BY ALL), n AS (SELECT greatest(1, (count(*) + 399) // 400) AS stride, count(*) AS images FROM conversations) "
+    "SELECT count(*) AS rows, any_value(n.images) AS images_total, max(c.n) AS max_images_in_row, count(*) FILTER (c.n >= 4) AS four_or_more, count(*) FILTER (length(content) = 0) AS empty_content_rows, count(*) FILTER (length(content) BETWEEN 1 AND 39) AS short_content_rows, any_value((n.images + stride - 1) // stride) AS images_sample_checked, 0 AS align_failures FROM c JOIN t USING (conv_id), n"
+)
+def verification(spark, sf):
+    said = gates.verify(ragged(spark, sf).withColumn("text", F.col("content")), decoder=LengthProbe())
+    names = ("rows", "images_total", "max_images_in_row", "four_or_more", "empty_content_rows", "short_content_rows", "images_sample_checked", "align_failures")
+    said |= {"four_or_more": said["histogram"]["4+"], "align_failures": len(said["align_failures"])}
+    return spark.createDataFrame([tuple(int(said[n]) for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+@query("SELECT sha256('{\"dim\": ' || any_value(len(embedding)) || ', \"rows\": ' || count(*) || '}') AS key FROM embeddings")
+def index_key(spark, sf):
+    n, dim, _, _ = index.shape(vectors_of(spark, sf))
+    return spark.createDataFrame([(index.config_key({"rows": n, "dim": dim}),)], "key string")
+
+
+@query("SELECT doc_id AS row_idx, CASE WHEN doc_id % 6 = 0 THEN 0 WHEN doc_id % 6 = 5 THEN 4 * (doc_id % 6) ELSE doc_id % 6 END::INT AS n FROM documents")
+def encoder_slots(spark, sf):
+    """What an encoder gets of a row's images by the native strategy: none for no images, else all of them."""
+
+    @F.arrow_udf("int")
+    def given(column):
+        import pyarrow as pa
+
+        return pa.array([len(images.row_image(x, "native")) for x in column.to_pylist()], pa.int32())
+
+    n = F.col("doc_id") % 6
+    held = F.array_repeat(F.lit(b"i"), F.when(n == 5, 4 * n).otherwise(n).cast("int"))
+    return documents(spark, sf).select(F.col("doc_id").alias("row_idx"), given(held).alias("n"))
+
+
 # Arithmetic
 
 @query("WITH s AS (SELECT doc_id, n_chars + 1 AS w, doc_id % 5000 + 1 AS h FROM documents), c AS (SELECT *, 1000.0::DOUBLE / greatest(w, h) AS f, greatest(w, h) > 1000 AS over FROM s) SELECT doc_id, CASE WHEN over THEN greatest(1, round_even(w * f, 0))::INT ELSE w::INT END AS width, CASE WHEN over THEN greatest(1, round_even(h * f, 0))::INT ELSE h::INT END AS height, over AS downscaled FROM c")
