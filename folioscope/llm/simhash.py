@@ -204,15 +204,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 # Similar texts: links by shingle similarity, which few differing bits alone do not find.
 
-SIMILARITY, SIMILAR_WORDS, WIDE_RADIUS, KEYS, BLOCK, PIVOTS = 0.8, 5, 20, 5, 1024, 16
+SIMILARITY, SIMILAR_WORDS, KEYS, BLOCK, PIVOTS = 0.8, 5, 5, 1024, 16
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, keys: int = KEYS) -> DataFrame:
     """What one reading of the texts gives, a row per input row.
 
     doc_id, text_sha256, close (the fingerprint of ``near_dedup``), and of the set of
-    ``words``-word shingles: fp (its fingerprint), keys (min-hashes), digest, shingles
-    (sorted 32-bit hashes).
+    ``words``-word shingles: keys (min-hashes), digest, shingles (sorted 32-bit hashes).
     """
     small_batches(docs.sparkSession)
     text = F.col(text_col).cast("string")
@@ -221,87 +220,66 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            close, fps, least, digests, sets = [], [], [], [], []
+            close, least, digests, sets = [], [], [], []
             for cell in batch.column(2):
                 text = cell.as_py()
                 close.append(fingerprint(text))
                 parts = list(shingle_hashes(text, words))
                 own = np.unique(np.concatenate(parts)) if parts else np.array([], np.uint64)
-                fps.append(folded(own[a : a + 8192] for a in range(0, len(own), 8192)))
                 mixed = [(own ^ s) * np.uint64(0x9E3779B97F4A7C15) for s in seeds] if parts else []
                 least.append([int((m ^ (m >> np.uint64(32))).min().view(np.int64)) for m in mixed])
                 sets.append(np.unique(own.astype("<u4")).tobytes())
                 digests.append(blake2b(sets[-1], digest_size=16).digest())
-            signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (close, fps)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *signed, pa.array(least, pa.list_(pa.int64())), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], ["doc_id", "text_sha256", "close", "fp", "keys", "digest", "shingles"])
+            signed = pa.array(np.array(close, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], signed, pa.array(least, pa.list_(pa.int64())), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], ["doc_id", "text_sha256", "close", "keys", "digest", "shingles"])
         pa.default_memory_pool().release_unused()
 
-    return chosen.mapInArrow(run, "doc_id long, text_sha256 string, close long, fp long, keys array<long>, digest binary, shingles binary")
-
-
-def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    """Whether two sets share that part of their union."""
-    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both >= similarity * (len(a) + len(b) - both)
-
-
-def _histograms(sets: list[np.ndarray]) -> np.ndarray:
-    """How many hashes of each set fall in each bucket; two sets share no more than the sum of the lesser counts."""
-    buckets = min(1024, max(64, 1 << (sum(map(len, sets)) // (4 * len(sets))).bit_length()))
-    return np.array([np.bincount(x & np.uint32(buckets - 1), minlength=buckets) for x in sets], np.int32)
+    return chosen.mapInArrow(run, "doc_id long, text_sha256 string, close long, keys array<long>, digest binary, shingles binary")
+
+
+class Postings:
+    """Which of some sets hold each value, for exact sizes of intersections."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.lengths = np.array([len(x) for x in sets])
+        _, value = np.unique(np.concatenate(sets), return_inverse=True)
+        times = np.bincount(value)
+        shared = times[value] > 1
+        owner = np.repeat(np.arange(len(sets)), self.lengths)[shared]
+        value = value[shared]
+        self.counts = np.where(times > 1, times, 0)
+        self.starts = np.r_[0, np.cumsum(self.counts)[:-1]]
+        self.owners = owner[np.argsort(value, kind="stable")]
+        self.own = np.split(value, np.searchsorted(owner, np.arange(1, len(sets))))
+
+    def common(self, k: int, step: int = 4096) -> np.ndarray:
+        """How many values set ``k`` shares with each other set."""
+        found = np.zeros(len(self.lengths), np.int64)
+        for at in range(0, len(self.own[k]), step):
+            value = self.own[k][at : at + step]
+            n = self.counts[value]
+            places = np.repeat(self.starts[value] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            found += np.bincount(self.owners[places], minlength=len(found))
+        return found
 
 
-def _joined(ids: np.ndarray, fps: list[int], sets: list[np.ndarray], blocks: np.ndarray, radius: int, similarity: float, labels: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links between a task's texts that connect what similar ones connect; of two blocks, only across.
+def _joined(ids: np.ndarray, sets: list[np.ndarray], own: np.ndarray, similarity: float = SIMILARITY, labels: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links between a task's texts that connect what similar ones connect; of two blocks (``own``), only across.
 
-    Texts of one label are known to be connected. The tree finds most links soon.
-    Pairs beyond the radius that are still apart are then verified too, unless their
-    sizes or histograms rule the similarity out.
+    Texts of one label are known to be connected. Every pair's similarity is exact, by
+    the sizes of all intersections with a text at once.
     """
-    tree, of = BKTree(), {}
-    first: dict[int, int] = {}
-    root = [first.setdefault(x, k) for k, x in enumerate((ids if labels is None else labels).tolist())]
-    crossing = len(set(blocks.tolist())) > 1
-    links = []
-
-    def top(k: int) -> int:
-        while root[k] != k:
-            root[k] = root[root[k]]
-            k = root[k]
-        return k
-
-    order = np.argsort(blocks, kind="stable").tolist() if crossing else list(range(len(ids)))
-    for k in order:
-        if not crossing or blocks[k] != blocks.min():
-            for value in tree.near(fps[k], radius):
-                for other in of[value]:
-                    a, b = top(k), top(other)
-                    if a != b and similar(sets[k], sets[other], similarity):
-                        root[a] = b
-                        links.append((int(ids[k]), int(ids[other])))
-        if not crossing or blocks[k] == blocks.min():
-            if fps[k] not in of:
-                tree.add(fps[k])
-            of.setdefault(fps[k], []).append(k)
-
-    tops = np.array([top(k) for k in range(len(ids))])
-    if (tops == tops[0]).all():
-        return links
-    lengths, counts = np.array([len(x) for x in sets]), _histograms(sets) if len(ids) > 8 else None
-    within = int((blocks == blocks.min()).sum())
-    for at, k in enumerate(order):
-        if crossing and at < within:
+    tops = np.unique(ids if labels is None else labels, return_inverse=True)[1]
+    crossing = (own != own[0]).any()
+    within, links, postings = own == own.min(), [], Postings(sets)
+    lengths, place = postings.lengths, np.arange(len(ids))
+    for k in np.flatnonzero(~within).tolist() if crossing else range(1, len(ids)):
+        others = (within if crossing else place < k) & (tops != tops[k])
+        if not others.any():
             continue
-        others = np.array(order[: within if crossing else at], np.int64)
-        own = lengths[others]
-        others = others[(tops[others] != tops[k]) & (np.minimum(own, lengths[k]) >= similarity * np.maximum(own, lengths[k]))]
-        if counts is not None and len(others):
-            most = np.minimum(counts[others], counts[k]).sum(axis=1)
-            others = others[most >= similarity * (lengths[others] + lengths[k] - most)]
-        for other in others.tolist():
-            if tops[other] != tops[k] and similar(sets[k], sets[other], similarity):
+        both = postings.common(k)
+        for other in np.flatnonzero(others & (both > 0) & (both >= similarity * (lengths + lengths[k] - both))).tolist():
+            if tops[other] != tops[k]:
                 tops[tops == tops[other]] = tops[k]
                 links.append((int(ids[k]), int(ids[other])))
     return links
@@ -310,12 +288,12 @@ def _joined(ids: np.ndarray, fps: list[int], sets: list[np.ndarray], blocks: np.
 _GROUP = ["table", "key", "b1", "b2"]
 
 
-def _verified(dealt: DataFrame, sets: DataFrame, radius: int, similarity: float) -> DataFrame:
+def _verified(dealt: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) within the groups of (table, key, b1, b2, own, label, id): all pairs, or across where ``own`` has two values.
 
     Ids come with whole sets only here, once for each group that holds them.
     """
-    whole = dealt.join(sets, "id").select(*_GROUP, "own", "label", "id", "fp", "shingles").repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+    whole = dealt.join(sets, "id").select(*_GROUP, "own", "label", "id", "shingles").repartition(*_GROUP).sortWithinPartitions(*_GROUP)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -334,23 +312,22 @@ def _verified(dealt: DataFrame, sets: DataFrame, radius: int, similarity: float)
             for s, e in zip(starts.tolist(), ends.tolist()):
                 if e - s > 1:
                     group = rest.slice(s, e - s)
-                    own, labels, ids, fps = (group.column(c).to_numpy() for c in ("own", "label", "id", "fp"))
+                    own, labels, ids = (group.column(c).to_numpy() for c in ("own", "label", "id"))
                     if (labels == labels[0]).all():
                         continue
-                    found += _joined(ids, fps.view(np.uint64).tolist(), [np.frombuffer(x, "<u4") for x in group.column("shingles").to_pylist()], own, radius, similarity, labels)
+                    found += _joined(ids, [np.frombuffer(x, "<u4") for x in group.column("shingles").to_pylist()], own, similarity, labels)
             rest = rest.slice(int(ends[-1]) if len(ends) else 0)
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return whole.mapInArrow(run, "a long, b long")
 
 
-def similar_links(chosen: DataFrame, sets: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, block: int = BLOCK, *, scratch: list[DataFrame] | None = None) -> DataFrame:
-    """Links (a, b) that connect similar texts among ``chosen`` (id, keys), whose ``sets`` are (id, fp, shingles).
+def similar_links(chosen: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK, *, scratch: list[DataFrame] | None = None) -> DataFrame:
+    """Links (a, b) that connect similar texts among ``chosen`` (id, keys), whose ``sets`` are (id, shingles).
 
     Texts of similarity 0.8 share a min-hash key with probability 0.9997 at five
-    keys. The texts of a key are searched by a BK-tree with a wide radius, then pairs
-    beyond it that are still apart, and each link is verified on the whole shingle
-    sets; no similar texts of a key are missed.
+    keys. The texts of a key are compared on their whole shingle sets; no similar texts
+    of a key are missed.
 
     A key of more than ``block`` texts is dealt to blocks. Their texts are first
     compared with ``PIVOTS`` of their own; the links so far are contracted, and what is
@@ -361,7 +338,7 @@ def similar_links(chosen: DataFrame, sets: DataFrame, radius: int = WIDE_RADIUS,
     sizes = save(entries.groupBy("table", "key").agg(F.count("*").alias("n")).filter("n > 1"), "key-sizes", scratch)
     several = save(entries.join(sizes, ["table", "key"]), "shared-keys", scratch)
     alone = several.filter(F.col("n") <= block).select("table", "key", F.lit(0).alias("b1"), F.lit(0).alias("b2"), F.lit(0).alias("own"), F.col("id").alias("label"), "id")
-    found = save(_verified(alone, sets, radius, similarity), "similar-links", scratch)
+    found = save(_verified(alone, sets, similarity), "similar-links", scratch)
     hot = several.filter(F.col("n") > block)
     if hot.isEmpty():
         return found
@@ -372,7 +349,7 @@ def similar_links(chosen: DataFrame, sets: DataFrame, radius: int = WIDE_RADIUS,
     first = hot.select("table", "key", F.lit(-1).alias("b1"), F.pmod(place, blocks).cast("int").alias("b2"), F.lit(1).alias("own"), F.col("id").alias("label"), "id").unionByName(
         pivots.select("table", "key", F.lit(-1).alias("b1"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("b2"), F.lit(0).alias("own"), F.col("id").alias("label"), "id")
     )
-    found = found.unionByName(save(_verified(first, sets, radius, similarity), "pivot-links", scratch))
+    found = found.unionByName(save(_verified(first, sets, similarity), "pivot-links", scratch))
 
     roots, _ = contracted(found)
     scratch.append(roots) if scratch is not None else None
@@ -388,7 +365,7 @@ def similar_links(chosen: DataFrame, sets: DataFrame, radius: int = WIDE_RADIUS,
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.when(outside, few + many).otherwise(few) - 1)))
         .select("table", "key", F.least("own", "with").alias("b1"), F.greatest("own", "with").alias("b2"), "own", "label", "id")
     )
-    return found.unionByName(save(_verified(across, sets, radius, similarity), "crossing-links", scratch))
+    return found.unionByName(save(_verified(across, sets, similarity), "crossing-links", scratch))
 
 
 def similar_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -404,7 +381,7 @@ def similar_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = save(own.groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("id")), "first-sketches", scratch)
     noded = save(own.select("doc_id", "text_sha256", "close", "digest").join(first, "digest"), "noded", scratch)
     named = own.join(first.select(F.col("node").alias("row")), "row", "left_semi")
-    links = similar_links(named.select(F.col("row").alias("id"), "keys"), own.select(F.col("row").alias("id"), "fp", "shingles"), similarity=similarity, scratch=scratch)
+    links = similar_links(named.select(F.col("row").alias("id"), "keys"), own.select(F.col("row").alias("id"), "shingles"), similarity=similarity, scratch=scratch)
     pairs = save(noded.select("close", "node").distinct(), "close-pairs", scratch)
     rooted = save(pairs.join(fingerprint_roots(pairs.select(F.col("close").alias("fp")).distinct()).withColumnRenamed("fp", "close"), "close"), "close-roots", scratch)
     least = save(rooted.groupBy("root").agg(F.min("node").alias("b")), "close-components", scratch)

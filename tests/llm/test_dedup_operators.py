@@ -255,7 +255,7 @@ def test_sketches_lose_few_pairs_at_the_threshold():
 
 @pytest.mark.parametrize("block", [1024, 7])
 def test_similar_texts_are_joined(spark, block, monkeypatch):
-    monkeypatch.setattr(simhash.similar_links, "__defaults__", (simhash.WIDE_RADIUS, simhash.SIMILARITY, block))
+    monkeypatch.setattr(simhash.similar_links, "__defaults__", (simhash.SIMILARITY, block))
     r = random.Random(block)
     words = [f"w{k}" for k in range(3000)]
     rows = [(1, None), (2, ""), (3, "a b"), (4, "A  b")]
@@ -288,23 +288,34 @@ def test_similar_texts_are_joined_however_often_a_line_repeats(spark):
         rows += [(10 * k + n, body + (f" n{k}" + line) * times) for n, times in enumerate((2, 21, 31, 61))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     own = {x["doc_id"]: x for x in simhash.sketches(docs).collect()}
-    assert all(own[k]["shingles"] == own[k - k % 10]["shingles"] and own[k]["fp"] == own[k - k % 10]["fp"] for k in own)
+    assert all(own[k]["shingles"] == own[k - k % 10]["shingles"] for k in own)
     assert {x["doc_id"]: x["component_id"] for x in simhash.similar_dedup(docs).collect()} == {k: k - k % 10 for k, _ in rows}
 
 
 @pytest.mark.parametrize("crossing", [False, True])
-def test_pairs_beyond_the_radius_are_verified(crossing):
+def test_all_pairs_of_a_key_are_compared(crossing):
     g = np.random.default_rng(crossing)
     common, sets = g.integers(0, 1 << 32, 20, dtype=np.uint64), []
     for size in g.integers(30, 900, 20):
         base = np.concatenate([common, g.integers(0, 1 << 32, size, dtype=np.uint64)])
         sets += [np.unique(np.concatenate([base[int(cut * len(base)) :], g.integers(0, 1 << 32, int(cut * len(base)), dtype=np.uint64)])).astype("<u4") for cut in (0, 0.05, 0.1, 0.12, 0.3)]
     n = len(sets)
-    fps = [int(x) for x in g.integers(0, 1 << 64, n, dtype=np.uint64)]
     blocks = np.arange(n) % 2 if crossing else np.zeros(n, int)
-    near = [(a, b) for a in range(n) for b in range(a) if (not crossing or blocks[a] != blocks[b]) and simhash.similar(sets[a], sets[b])]
+
+    def similar(a, b):
+        both = len(set(a.tolist()) & set(b.tolist()))
+        return both >= 0.8 * (len(a) + len(b) - both)
+
+    near = [(a, b) for a in range(n) for b in range(a) if (not crossing or blocks[a] != blocks[b]) and similar(sets[a], sets[b])]
     assert len(near) > 20
     for few in (n, 2, 6):
         pairs = [(a, b) for a, b in near if a < few]
-        made = simhash._joined(np.arange(few), fps[:few], sets[:few], blocks[:few], 1, 0.8)
+        made = simhash._joined(np.arange(few), sets[:few], blocks[:few], 0.8)
         assert union(made, range(few)) == union(pairs, range(few))
+    labels = np.arange(n) // 5
+    made = simhash._joined(np.arange(n), sets, blocks, 0.8, labels)
+    known = [(k, 5 * (k // 5)) for k in range(n)]
+    assert union(made + known, range(n)) == union(near + known, range(n))
+    postings = simhash.Postings(sets)
+    for k in (0, 9, n - 1):
+        assert np.delete(postings.common(k, 7), k).tolist() == [len(np.intersect1d(sets[k], x)) for j, x in enumerate(sets) if j != k]
