@@ -27,7 +27,8 @@ from folioscope.llm import quality as quality_model
 def _without(docs: DataFrame, decisions: DataFrame, text: Column) -> DataFrame:
     """``docs`` less the rows that ``decisions`` (doc_id, text_sha256 of ``text``, kept) drops."""
     dropped = durable.save(decisions.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("dropped_id"), F.col("text_sha256").alias("dropped_text")).distinct(), "dropped")
-    return docs.join(dropped, (docs["doc_id"] == dropped["dropped_id"]) & (F.sha2(text, 256) == dropped["dropped_text"]), "left_anti")
+    # What goes grows with the input, so it is never broadcast: one plan at every size.
+    return docs.join(dropped.hint("shuffle_merge"), (docs["doc_id"] == dropped["dropped_id"]) & (F.sha2(text, 256) == dropped["dropped_text"]), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
