@@ -333,23 +333,23 @@ def similar_links(chosen: DataFrame, sets: DataFrame, similarity: float = SIMILA
     compared with ``PIVOTS`` of their own; the links so far are contracted, and what is
     still apart from the key's largest component meets every block, two blocks to a
     task. Near copies of one text are so linked in linear work, and nothing is dropped.
+    Sets are joined to small keys and pivots in one go, and once more to what is apart.
     """
     entries = chosen.select("id", F.posexplode("keys").alias("table", "key"))
     sizes = save(entries.groupBy("table", "key").agg(F.count("*").alias("n")).filter("n > 1"), "key-sizes", scratch)
     several = save(entries.join(sizes, ["table", "key"]), "shared-keys", scratch)
     alone = several.filter(F.col("n") <= block).select("table", "key", F.lit(0).alias("b1"), F.lit(0).alias("b2"), F.lit(0).alias("own"), F.col("id").alias("label"), "id")
-    found = save(_verified(alone, sets, similarity), "similar-links", scratch)
     hot = several.filter(F.col("n") > block)
-    if hot.isEmpty():
-        return found
-
     blocks = F.ceil(F.col("n") / block).cast("int")
     place = F.xxhash64("id", F.lit(1))
     pivots = hot.groupBy("table", "key", "n", F.pmod(F.xxhash64("id"), F.lit(PIVOTS))).agg(F.min("id").alias("id"))
     first = hot.select("table", "key", F.lit(-1).alias("b1"), F.pmod(place, blocks).cast("int").alias("b2"), F.lit(1).alias("own"), F.col("id").alias("label"), "id").unionByName(
         pivots.select("table", "key", F.lit(-1).alias("b1"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("b2"), F.lit(0).alias("own"), F.col("id").alias("label"), "id")
     )
-    found = found.unionByName(save(_verified(first, sets, similarity), "pivot-links", scratch))
+    # Both at once, hot keys or none: all sets move once for them, by the same plan at every size.
+    found = save(_verified(alone.unionByName(first), sets, similarity), "similar-links", scratch)
+    if hot.isEmpty():
+        return found
 
     roots, _ = contracted(found)
     scratch.append(roots) if scratch is not None else None
