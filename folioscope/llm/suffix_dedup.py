@@ -140,12 +140,12 @@ class Parse:
             same = key[order][1:] == key[order][:-1]
             found[places[order[np.r_[same, False] | np.r_[False, same]]]] = True
 
-        long = np.flatnonzero(self.left >= window)  # windows within a phrase: the dictionary's order alone
-        if len(long):
+        chosen = able[left >= window]  # windows within a phrase: the dictionary's order alone
+        if len(chosen) > 1:
+            long = np.flatnonzero(self.left >= window)
             long = long[np.argsort(self.ranks[long])]
             within = np.zeros(len(self.left), np.int64)
             within[long] = np.cumsum(_common(self.dictionary, long, window) < window)
-            chosen = able[left >= window]
             mark(chosen, within[self.place[chosen]])
         sorted_parse = np.argsort(self.parse_ranks)
         shared = _common(self.symbols, self.starts[sorted_parse], window + self.trigger)

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from folioscope.llm import packing, quality, simhash
+from folioscope.llm import packing, quality, simhash, suffix_dedup
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -105,3 +105,11 @@ def test_passages_keep_characters_of_the_text(spark, sf):
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
     found = {x["doc_id"]: (x["text"], x["n_chars"]) for x in corpus_pipeline.passages(spark, docs, sf).collect()}
     assert found == {1: ("keep \ufffd mark ", 12), 2: ("xx", 2), 3: ("alone \ufffd", 7)}
+
+
+def test_passages_of_texts_that_end_a_byte_short_of_a_window_behind_their_last_phrase_start(spark, sf):
+    text = bytes(np.random.default_rng(6).integers(97, 123, 30).astype(np.uint8)) + b"z" * 400
+    text = text[: suffix_dedup.Parse([text]).starts[-1] + 199].decode()
+    docs = spark.createDataFrame([(1, text), (2, text[1:]), (3, "alone")], "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
+    found = {x["doc_id"]: (x["text"], x["n_chars"]) for x in corpus_pipeline.passages(spark, docs, sf).collect()}
+    assert found == {1: (text[0], 1), 2: ("", 0), 3: ("alone", 5)}
