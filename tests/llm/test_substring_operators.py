@@ -103,6 +103,37 @@ def test_prefix_free_parse_gives_corpus_order_and_repeats(trigger, modulus):
         assert parse.repeated(window).tolist() == [len(x) >= window and count[x[:window]] > 1 for x in suffixes]
 
 
+def ending_in_a_phrase_of(size, seed):
+    """A text whose last phrase has ``size`` bytes, and the only one that is longer than its head."""
+    head = bytes(np.random.default_rng(seed).integers(97, 123, 30).astype(np.uint8))
+    text = head + b"z" * 400
+    return text[: suffix_dedup.Parse([text]).starts[-1] + size]
+
+
+@pytest.mark.parametrize("size", [198, 199, 200, 201])
+def test_a_shard_without_a_window_inside_a_phrase(size):
+    checked = 0
+    for seed in range(60):
+        text = ending_in_a_phrase_of(size, seed)
+        for contexts in ([text], [text, b"x" + text], [text, text[1:]], [text, text[:-1], b"y" * 250]):
+            contexts = [c for c in contexts if len(c) >= 200]
+            if contexts:
+                count = Counter(c[p : p + 200] for c in contexts for p in range(len(c) - 199))
+                found = suffix_dedup.compare(None, contexts, None)
+                assert [f.tolist() for f in found] == [[count[c[p : p + 200]] > 1 for p in range(len(c) - 199)] for c in contexts]
+                checked += 1
+    assert checked > 100
+
+
+def test_suffix_dedup_of_texts_whose_last_phrase_is_a_byte_short_of_a_window(spark):
+    text = ending_in_a_phrase_of(199, 6).decode()
+    rows = [(1, text), (2, text[1:]), (3, "other " * 10), (4, None)]
+    found = suffix_dedup.substring_dedup(frame(spark, rows)).collect()
+    got = order((x["doc_id"], x["n_bytes"], x["n_removed"], len(x["removed"]), bytes(x["kept"])) for x in found)
+    assert got == order((k, *x) for (k, _), x in zip(rows, brute_bytes(rows, 200)))
+    assert sum(x[2] for x in got) == 2 * len(text) - 2
+
+
 def test_common_prefixes_in_steps():
     g = np.random.default_rng(8)
     symbols, starts = g.integers(0, 2, 300).astype(np.uint16), g.integers(0, 290, 101)
